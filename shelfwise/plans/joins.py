@@ -1,0 +1,29 @@
+"""Join helpers: broadcast only behind a measured size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Largest row count we hand to a broadcast hint. A broadcast copies the table to
+# every executor, so the bound is on rows actually counted, not on estimates.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_small(left: DataFrame, right: DataFrame, on: str | list[str] | Column,
+               how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS,
+               small: bool | None = None) -> DataFrame:
+    """Join ``right`` into ``left``, broadcasting ``right`` only if its size was checked.
+
+    ``small`` lets a caller pass a bound it has already proven (e.g. a table of
+    per-partition summaries); otherwise the rows are counted here. Beyond the
+    bound the plain join is returned and the planner / AQE choose the strategy.
+    """
+    if small is None:
+        small = fits_broadcast(right, max_rows)
+    return left.join(F.broadcast(right) if small else right, on, how)
