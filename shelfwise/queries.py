@@ -13,9 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .checks import oracle as O
 from .operators import clean as C
+from .operators import feed as FD
+from .operators import reports as R
 from .operators import transforms as T
-from .session import prepare
+from .plans.ranking import distributed_rank
+from .session import prepare, work_dir
+from .sinks import tables as K
+from .sources import files as S
 from .sources import testviews as V
+from .streaming import pipeline as P
+from .streaming import staging as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,6 +55,50 @@ def sales_agg(spark, d):
     return T.sales_aggregation(pos_clean(spark, d))
 
 
+def warehouse_clean(spark, d):
+    return C.clean_warehouse(V.warehouse(spark, d))
+
+
+def supplier_clean(spark, d):
+    return C.clean_supplier(V.supplier_po(spark, d))
+
+
+def batches(spark, d):
+    """Every micro-batch with raw rows (a batch of only dirty rows still loads stock)."""
+    return T.batch_ids(V.pos(spark, d))
+
+
+def inventory(spark, d):
+    return T.inventory_calculation(sales_agg(spark, d), warehouse_clean(spark, d), batches(spark, d))
+
+
+def ranking(spark, d):
+    return T.product_ranking(sales_agg(spark, d))
+
+
+def delays(spark, d):
+    return T.supplier_delay_detection(supplier_clean(spark, d))
+
+
+def delay_table(spark, d):
+    """The delay-alert table as loaded: every alert once per micro-batch."""
+    return T.supplier_alerts_per_batch(delays(spark, d), batches(spark, d))
+
+
+def latest_inv(spark, d):
+    return R.latest_inventory(inventory(spark, d))
+
+
+def raw_clean(spark, d):
+    return FD.raw_sales_clean(V.raw_sales(spark, d))
+
+
+# Fixed parameters of the registered report queries.
+STORE = "ASIA"
+SEARCH = "small.*g|p00[12]"
+THRESHOLD = 20
+
+
 # ---- S4, C1-C5 -----------------------------------------------------------------
 
 POS_COLS = "txn_id, product_id, product_name, store_id, quantity_sold, unit_price, txn_timestamp, batch_id"
@@ -84,3 +135,290 @@ def q_pos_clean(spark, d):
 @register("sales_aggregation", O.with_ctes("SELECT * FROM sales_agg", "sales_agg"))
 def q_sales_aggregation(spark, d):
     return sales_agg(spark, d)
+
+
+# ---- H6, C9 --------------------------------------------------------------------
+
+@register("pos_rejects", O.with_ctes(f"""
+SELECT {POS_COLS}, 'null' AS reason FROM pos
+WHERE product_id IS NULL OR quantity_sold IS NULL OR unit_price IS NULL OR isnan(unit_price)
+UNION ALL
+SELECT {POS_COLS}, 'invalid' AS reason FROM pos_nn WHERE NOT (quantity_sold > 0 AND unit_price > 0)
+UNION ALL
+SELECT {POS_COLS}, 'duplicate' AS reason FROM (
+  SELECT *, row_number() OVER (PARTITION BY batch_id, txn_id ORDER BY {O.POS_ORDER}) AS rn FROM pos_valid)
+WHERE rn > 1""", "pos_valid"))
+def q_pos_rejects(spark, d):
+    """H6: every dropped POS row with the first rule it failed."""
+    return C.pos_rejects(V.pos(spark, d))
+
+
+@register("clean_report", O.with_ctes("""
+SELECT p.batch_id,
+       cast(count(*) AS bigint) AS raw_rows,
+       cast(count(*) FILTER (WHERE product_id IS NULL OR quantity_sold IS NULL OR unit_price IS NULL
+                             OR isnan(unit_price)) AS bigint) AS null_rows,
+       cast(count(*) FILTER (WHERE NOT (product_id IS NULL OR quantity_sold IS NULL OR unit_price IS NULL
+                             OR isnan(unit_price)) AND NOT (quantity_sold > 0 AND unit_price > 0)) AS bigint)
+         AS invalid_rows,
+       cast(coalesce(max(v.valid_rows), 0) - coalesce(max(c.clean_rows), 0) AS bigint) AS duplicate_rows,
+       cast(coalesce(max(c.clean_rows), 0) AS bigint) AS clean_rows
+FROM pos p
+LEFT JOIN (SELECT batch_id, count(*) AS valid_rows FROM pos_valid GROUP BY batch_id) v USING (batch_id)
+LEFT JOIN (SELECT batch_id, count(*) AS clean_rows FROM pos_dedup GROUP BY batch_id) c USING (batch_id)
+GROUP BY p.batch_id""", "pos_dedup"))
+def q_clean_report(spark, d):
+    """Raw -> rejected by rule -> clean counts per batch."""
+    return C.clean_report(V.pos(spark, d))
+
+
+# ---- C6, C7 --------------------------------------------------------------------
+
+@register("warehouse_clean", O.with_ctes("SELECT * FROM warehouse_clean", "warehouse_clean"))
+def q_warehouse_clean(spark, d):
+    return warehouse_clean(spark, d)
+
+
+@register("supplier_clean", O.with_ctes("SELECT * FROM supplier_clean", "supplier_clean"))
+def q_supplier_clean(spark, d):
+    return supplier_clean(spark, d)
+
+
+# ---- T1, W1, T2, T3 ------------------------------------------------------------
+
+@register("inventory_status", O.with_ctes("SELECT * FROM inventory", "inventory"))
+def q_inventory_status(spark, d):
+    return inventory(spark, d)
+
+
+@register("product_ranking", O.with_ctes("SELECT * FROM ranking", "ranking"))
+def q_product_ranking(spark, d):
+    return ranking(spark, d)
+
+
+@register("low_stock_alerts", O.with_ctes("SELECT * FROM low_stock", "low_stock"))
+def q_low_stock_alerts(spark, d):
+    return T.low_stock_detection(inventory(spark, d))
+
+
+@register("supplier_delay_alerts", O.with_ctes("SELECT * FROM delays", "delays"))
+def q_supplier_delay_alerts(spark, d):
+    return delays(spark, d)
+
+
+# ---- H2, H4, H5 ----------------------------------------------------------------
+
+@register("product_ranking_global", O.with_ctes("""
+SELECT product_id, product_name, total_revenue, units_sold,
+       cast(rank() OVER (ORDER BY total_revenue DESC) AS bigint) AS rank
+FROM (SELECT product_id, product_name,
+             cast(sum(cast(total_revenue AS decimal(18,2))) AS double) AS total_revenue,
+             cast(sum(units_sold) AS bigint) AS units_sold
+      FROM sales_agg GROUP BY product_id, product_name)""", "sales_agg"))
+def q_product_ranking_global(spark, d):
+    """H2: one ranking over all batches, computed without a single-partition window."""
+    sales = sales_agg(spark, d).drop("batch_id")
+    return T.product_ranking(sales)
+
+
+@register("inventory_cumulative", O.with_ctes("""
+SELECT batch_id, product_id, warehouse_stock, reorder_threshold, units_sold_batch,
+       cast(sum(units_sold_batch) OVER w AS bigint) AS units_sold_to_date,
+       cast(warehouse_stock - sum(units_sold_batch) OVER w AS bigint) AS cumulative_stock
+FROM inventory
+WINDOW w AS (PARTITION BY product_id ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+                                              "inventory"))
+def q_inventory_cumulative(spark, d):
+    return T.inventory_cumulative(inventory(spark, d))
+
+
+@register("supplier_delay_distinct", O.with_ctes("""
+SELECT supplier_id, cast(count(po_id) AS bigint) AS delayed_orders, avg(delay_days) AS avg_delay
+FROM (SELECT supplier_id, po_id, max(delay_days) AS delay_days FROM delay_table
+      WHERE supplier_id IS NOT NULL GROUP BY supplier_id, po_id)
+GROUP BY supplier_id""", "delay_table"))
+def q_supplier_delay_distinct(spark, d):
+    return R.supplier_delay_distinct(delay_table(spark, d))
+
+
+# ---- G4-G7, T5 -----------------------------------------------------------------
+
+SEARCH_SQL = ("(regexp_matches(coalesce(product_name, ''), '{p}', 'i') AND product_name IS NOT NULL) OR "
+              "(regexp_matches(coalesce(product_id, ''), '{p}', 'i') AND product_id IS NOT NULL)").format(p=SEARCH)
+
+
+@register("kpi_totals", O.with_ctes(f"""
+SELECT coalesce(cast(sum(cast(total_revenue AS decimal(18,2))) AS double), 0.0) AS total_revenue,
+       cast(coalesce(sum(units_sold), 0) AS bigint) AS total_units,
+       cast(coalesce(sum(txn_count), 0) AS bigint) AS total_txns
+FROM sales_agg WHERE store_id = '{STORE}'""", "sales_agg"))
+def q_kpi_totals(spark, d):
+    """Totals for one store."""
+    return R.kpi_totals(R.sales_filtered(sales_agg(spark, d), STORE, None))
+
+
+@register("active_batches", O.with_ctes(
+    "SELECT cast(count(DISTINCT batch_id) AS bigint) AS active_batches FROM sales_agg", "sales_agg"))
+def q_active_batches(spark, d):
+    return R.active_batches(sales_agg(spark, d))
+
+
+@register("kpi_low_stock", O.with_ctes(f"""
+SELECT cast(count(*) FILTER (WHERE current_stock < {THRESHOLD}) AS bigint) AS low_stock_count,
+       CASE WHEN count(*) FILTER (WHERE current_stock < {THRESHOLD}) > 50 THEN 'rose' ELSE 'amber' END AS severity
+FROM latest_inv""", "latest_inv"))
+def q_kpi_low_stock(spark, d):
+    return R.kpi_low_stock(latest_inv(spark, d), THRESHOLD)
+
+
+@register("kpi_delays", O.with_ctes(
+    "SELECT cast(count(*) AS bigint) AS total_delays FROM delay_table", "delay_table"))
+def q_kpi_delays(spark, d):
+    return R.kpi_delays(delay_table(spark, d))
+
+
+# ---- C11-C13 -------------------------------------------------------------------
+
+SALES_COLS = "batch_id, product_id, product_name, store_id, units_sold, total_revenue, txn_count"
+
+
+@register("sales_filtered", O.with_ctes(
+    f"SELECT {SALES_COLS} FROM sales_agg WHERE store_id = '{STORE}' AND ({SEARCH_SQL})", "sales_agg"))
+def q_sales_filtered(spark, d):
+    """C11 + C12: one store, then the product search."""
+    return R.sales_filtered(sales_agg(spark, d), STORE, SEARCH)
+
+
+@register("product_search", O.with_ctes(
+    f"SELECT {SALES_COLS} FROM sales_agg WHERE {SEARCH_SQL}", "sales_agg"))
+def q_product_search(spark, d):
+    """Regex on name or id, case-insensitive."""
+    return R.search_products(sales_agg(spark, d), SEARCH)
+
+
+@register("store_list", O.with_ctes(
+    "SELECT DISTINCT store_id FROM sales_agg WHERE store_id IS NOT NULL", "sales_agg"))
+def q_store_list(spark, d):
+    return R.store_list(sales_agg(spark, d))
+
+
+# ---- O1, O2, T4 ----------------------------------------------------------------
+
+@register("top_products", O.with_ctes(f"""
+SELECT product_name, cast(sum(cast(total_revenue AS decimal(18,2))) AS double) AS total_revenue
+FROM sales_agg WHERE store_id = '{STORE}' AND product_name IS NOT NULL
+GROUP BY product_name ORDER BY total_revenue DESC, product_name ASC LIMIT 15""", "sales_agg"))
+def q_top_products(spark, d):
+    """O1: top 15 product names by revenue in one store."""
+    return R.top_products(R.sales_filtered(sales_agg(spark, d), STORE, None))
+
+
+@register("lowest_stock", O.with_ctes(
+    "SELECT * FROM latest_inv ORDER BY current_stock ASC, product_id ASC LIMIT 15", "latest_inv"))
+def q_lowest_stock(spark, d):
+    return R.lowest_stock(latest_inv(spark, d))
+
+
+@register("critical_items", O.with_ctes(f"""
+SELECT product_id, warehouse_stock, units_sold_batch, current_stock,
+       CASE WHEN current_stock < 10 THEN 'CRITICAL' ELSE 'LOW STOCK' END AS stock_status
+FROM latest_inv WHERE current_stock < {THRESHOLD}""", "latest_inv"))
+def q_critical_items(spark, d):
+    return R.critical_items(latest_inv(spark, d), THRESHOLD)
+
+
+# ---- G8-G11 --------------------------------------------------------------------
+
+@register("revenue_by_store", O.with_ctes("""
+SELECT store_id, cast(sum(cast(total_revenue AS decimal(18,2))) AS double) AS total_revenue
+FROM sales_agg WHERE store_id IS NOT NULL GROUP BY store_id""", "sales_agg"))
+def q_revenue_by_store(spark, d):
+    return R.revenue_by_store(sales_agg(spark, d))
+
+
+@register("batch_trend", O.with_ctes("""
+SELECT batch_id, cast(sum(cast(total_revenue AS decimal(18,2))) AS double) AS total_revenue,
+       cast(sum(units_sold) AS bigint) AS units_sold, cast(sum(txn_count) AS bigint) AS txn_count
+FROM sales_agg GROUP BY batch_id""", "sales_agg"))
+def q_batch_trend(spark, d):
+    return R.batch_trend(sales_agg(spark, d))
+
+
+@register("batch_summary", O.with_ctes("""
+SELECT batch_id, cast(sum(txn_count) AS bigint) AS records_processed,
+       cast(sum(cast(total_revenue AS decimal(18,2))) AS double) AS total_batch_revenue
+FROM sales_agg GROUP BY batch_id""", "sales_agg"))
+def q_batch_summary(spark, d):
+    return R.batch_summary(sales_agg(spark, d))
+
+
+@register("supplier_delay_summary", O.with_ctes("""
+SELECT supplier_id, cast(count(po_id) AS bigint) AS delayed_orders, avg(delay_days) AS avg_delay
+FROM delay_table WHERE supplier_id IS NOT NULL GROUP BY supplier_id""", "delay_table"))
+def q_supplier_delay_summary(spark, d):
+    return R.supplier_delay_summary(delay_table(spark, d))
+
+
+# ---- L1-L3 ---------------------------------------------------------------------
+
+@register("latest_inventory", O.with_ctes("SELECT * FROM latest_inv", "latest_inv"))
+def q_latest_inventory(spark, d):
+    return latest_inv(spark, d)
+
+
+@register("latest_ranking", O.with_ctes("""
+SELECT rank, product_id, product_name, units_sold, total_revenue
+FROM ranking WHERE batch_id = (SELECT max(batch_id) FROM ranking)""", "ranking"))
+def q_latest_ranking(spark, d):
+    return R.latest_ranking(ranking(spark, d))
+
+
+@register("latest_delays", O.with_ctes("""
+SELECT po_id, product_id, supplier_id, expected_delivery_date, actual_delivery_date, delay_days
+FROM delay_table WHERE batch_id = (SELECT max(batch_id) FROM delay_table)""", "delay_table"))
+def q_latest_delays(spark, d):
+    return R.latest_delays(delay_table(spark, d))
+
+
+# ---- C8, T6-T8, N2 -------------------------------------------------------------
+
+RAW_CLEAN_SQL = """
+raw_clean AS (
+  SELECT row_id, product_name, region, order_quantity, unit_price,
+         try_cast(order_date AS timestamp) AS order_date
+  FROM raw_sales
+  WHERE product_name IS NOT NULL AND order_quantity IS NOT NULL AND unit_price IS NOT NULL
+    AND NOT isnan(unit_price) AND order_date IS NOT NULL
+    AND order_quantity > 0 AND unit_price > 0 AND try_cast(order_date AS timestamp) IS NOT NULL
+),
+catalog AS (
+  SELECT product_name, printf('P%04d', row_number() OVER (ORDER BY min(row_id))) AS product_id
+  FROM raw_clean GROUP BY product_name
+)"""
+
+
+def _raw(select: str) -> str:
+    return O.with_ctes(select, "raw_sales").replace(")\n", ")," + RAW_CLEAN_SQL + "\n", 1)
+
+
+@register("raw_sales_clean", _raw("SELECT * FROM raw_clean"))
+def q_raw_sales_clean(spark, d):
+    return raw_clean(spark, d)
+
+
+@register("product_catalog", _raw("SELECT * FROM catalog"))
+def q_product_catalog(spark, d):
+    """P0001.. by first appearance (smallest row id)."""
+    return FD.product_catalog(raw_clean(spark, d))
+
+
+@register("feed_chunks", _raw("""
+SELECT concat('TXN-', cast(r.row_id AS varchar)) AS txn_id, c.product_id, r.product_name,
+       r.region AS store_id, r.order_quantity AS quantity_sold, r.unit_price,
+       strftime(r.order_date, '%Y-%m-%dT%H:%M:%S') AS txn_timestamp,
+       cast((row_number() OVER (ORDER BY r.order_date, r.row_id) - 1) // 700 + 1 AS bigint) AS feed_batch
+FROM raw_clean r JOIN catalog c USING (product_name)"""))
+def q_feed_chunks(spark, d):
+    """T7 + T8 + N2: POS records cut into 700-row chunks in date order."""
+    clean = raw_clean(spark, d)
+    return FD.feed_chunks(clean, FD.product_catalog(clean))

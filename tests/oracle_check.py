@@ -107,7 +107,7 @@ if __name__ == "__main__":
     spark = (SparkSession.builder.master("local[8]")
              .config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", "8")
-             .config("spark.driver.memory", "8g")
+             .config("spark.driver.memory", "8g").config("spark.ui.showConsoleProgress", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     res = compare(spark, sf, sys.argv[2:] or None)
