@@ -66,3 +66,13 @@ def feed_chunks(clean: DataFrame, catalog: DataFrame, batch_size: int = BATCH_SI
         iso_timestamp("order_date").alias("txn_timestamp"),
         (F.floor((F.col("_pos") - 1) / batch_size) + 1).cast("bigint").alias("feed_batch"),
     )
+
+
+def write_feed(chunks: DataFrame, folder: str) -> None:
+    """K5: replace the POS feed folder with one sub-folder of JSON-lines files per chunk.
+
+    Rows are hash-partitioned on the chunk id first, so each chunk lands in
+    one file written by one task and chunks are written in parallel.
+    """
+    (chunks.repartition("feed_batch").write.mode("overwrite")
+        .partitionBy("feed_batch").json(folder))

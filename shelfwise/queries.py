@@ -16,7 +16,6 @@ from .operators import clean as C
 from .operators import feed as FD
 from .operators import reports as R
 from .operators import transforms as T
-from .plans.ranking import distributed_rank
 from .session import prepare, work_dir
 from .sinks import tables as K
 from .sources import files as S
@@ -422,3 +421,114 @@ def q_feed_chunks(spark, d):
     """T7 + T8 + N2: POS records cut into 700-row chunks in date order."""
     clean = raw_clean(spark, d)
     return FD.feed_chunks(clean, FD.product_catalog(clean))
+
+
+# ---- M1, M2, M4, K4, H1, N3: streaming -----------------------------------------
+
+STREAM_FILES = 6
+
+
+def _stream_setup(spark, d, label):
+    root = work_dir(spark, label)
+    return root, f"{root}/pos_feed", f"{root}/results", f"{root}/checkpoint"
+
+
+def _loaders(spark, d):
+    return (lambda: V.warehouse(spark, d)), (lambda: V.supplier_po(spark, d))
+
+
+def _read_result(spark, out, name):
+    return S.result_table(spark, out, name).drop("loaded_at")
+
+
+@register("stream_pos_sales", ORACLE["sales_aggregation"])
+def q_stream_pos_sales(spark, d):
+    """M1 + K4: the POS feed as files, drained by a stream; sales table read back."""
+    root, feed, out, ckpt = _stream_setup(spark, d, "stream-sales")
+    ST.stage_pos_feed(spark, V.pos(spark, d), feed, STREAM_FILES)
+    wh, sup = _loaders(spark, d)
+    P.run_stream(spark, feed, out, ckpt, wh, sup)
+    return _read_result(spark, out, "sales_aggregation").select(*sales_agg(spark, d).columns)
+
+
+@register("stream_inventory", ORACLE["inventory_status"])
+def q_stream_inventory(spark, d):
+    """M4: warehouse re-read per micro-batch; inventory table read back."""
+    root, feed, out, ckpt = _stream_setup(spark, d, "stream-inventory")
+    ST.stage_pos_feed(spark, V.pos(spark, d), feed, STREAM_FILES)
+    wh, sup = _loaders(spark, d)
+    P.run_stream(spark, feed, out, ckpt, wh, sup)
+    return _read_result(spark, out, "inventory_status").select(*inventory(spark, d).columns)
+
+
+@register("stream_pos_resume", ORACLE["sales_aggregation"])
+def q_stream_pos_resume(spark, d):
+    """M2 + N3: first half of the feed, rerun with the rest, rerun with nothing new.
+
+    The checkpoint remembers consumed files, so each batch is loaded once.
+    """
+    root, feed, out, ckpt = _stream_setup(spark, d, "stream-resume")
+    pos = V.pos(spark, d)
+    wh, sup = _loaders(spark, d)
+    ST.stage_pos_feed(spark, pos.filter("batch_id < 40"), feed, STREAM_FILES // 2, start_ms=1_600_000_000_000)
+    P.run_stream(spark, feed, out, ckpt, wh, sup)
+    ST.stage_pos_feed(spark, pos.filter("batch_id >= 40"), feed, STREAM_FILES // 2, start_ms=1_700_000_000_000)
+    P.run_stream(spark, feed, out, ckpt, wh, sup)
+    P.run_stream(spark, feed, out, ckpt, wh, sup)
+    return _read_result(spark, out, "sales_aggregation").select(*sales_agg(spark, d).columns)
+
+
+@register("stream_replay", ORACLE["sales_aggregation"])
+def q_stream_replay(spark, d):
+    """H1: the last micro-batch is replayed (commit marker gone); its partitions
+    are rewritten, not appended, so the table still equals the batch query."""
+    root, feed, out, ckpt = _stream_setup(spark, d, "stream-replay")
+    ST.stage_pos_feed(spark, V.pos(spark, d), feed, STREAM_FILES)
+    wh, sup = _loaders(spark, d)
+    P.run_stream(spark, feed, out, ckpt, wh, sup)
+    P.forget_last_commit(spark, ckpt)
+    P.run_stream(spark, feed, out, ckpt, wh, sup)
+    return _read_result(spark, out, "sales_aggregation").select(*sales_agg(spark, d).columns)
+
+
+@register("stream_dedup", O.with_ctes("SELECT DISTINCT batch_id, txn_id FROM pos_valid", "pos_valid"))
+def q_stream_dedup(spark, d):
+    """H3: cross-batch dedup of resent transactions; compared on keys (the copy
+    that wins depends on arrival order)."""
+    root, feed, out, ckpt = _stream_setup(spark, d, "stream-dedup")
+    ST.stage_pos_feed(spark, V.pos(spark, d), feed, STREAM_FILES)
+    P.dedup_stream(spark, feed, f"{root}/kept", ckpt)
+    return spark.read.parquet(f"{root}/kept").select("batch_id", "txn_id")
+
+
+# ---- K1, K2, S6, S7 --------------------------------------------------------------
+
+@register("load_result", ORACLE["sales_aggregation"])
+def q_load_result(spark, d):
+    """K1 + H1: results written per batch partition, written again (a replay), read back."""
+    out = work_dir(spark, "load-result")
+    sales = sales_agg(spark, d)
+    K.load_result(sales, out, "sales_aggregation")
+    K.load_result(sales, out, "sales_aggregation")
+    return _read_result(spark, out, "sales_aggregation").select(*sales.columns)
+
+
+@register("result_scan", ORACLE["low_stock_alerts"])
+def q_result_scan(spark, d):
+    """Scan of a stored result table; a table never written scans as empty."""
+    out = work_dir(spark, "result-scan")
+    low = T.low_stock_detection(inventory(spark, d))
+    K.load_result(low, out, "low_stock_alerts")
+    stored = _read_result(spark, out, "low_stock_alerts")
+    never_written = _read_result(spark, work_dir(spark, "result-scan-empty"), "low_stock_alerts")
+    return stored.unionByName(never_written).select(*low.columns)
+
+
+@register("feed_files")
+def q_feed_files(spark, d):
+    """S7 + O4 + K5: the prepared feed written as chunk folders, newest 10 files listed."""
+    root = work_dir(spark, "feed-files")
+    clean = raw_clean(spark, d)
+    chunks = FD.feed_chunks(clean, FD.product_catalog(clean))
+    FD.write_feed(chunks, f"{root}/pos_sales")
+    return R.feed_files(S.file_listing(spark, f"{root}/pos_sales"))

@@ -35,12 +35,17 @@ RESULT_NAMES = ("sales_aggregation", "inventory_status", "product_ranking",
 Loader = Callable[[], DataFrame]
 
 
-def batch_results(pos_batch: DataFrame, warehouse: DataFrame, supplier: DataFrame) -> dict[str, DataFrame]:
-    """The five results of one (or several) batches, from raw inputs (K4 body)."""
+def batch_results(pos_batch: DataFrame, warehouse: DataFrame, supplier: DataFrame,
+                  keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, DataFrame]:
+    """The five results of one (or several) batches, from raw inputs (K4 body).
+
+    ``keep`` is applied to frames read by more than one result (sales and
+    inventory); the stream passes ``persist`` so each is computed once.
+    """
     pos_clean = C.clean_pos(pos_batch)
-    sales = T.sales_aggregation(pos_clean)
+    sales = keep(T.sales_aggregation(pos_clean))
     batches = T.batch_ids(pos_batch)
-    inventory = T.inventory_calculation(sales, C.clean_warehouse(warehouse), batches)
+    inventory = keep(T.inventory_calculation(sales, C.clean_warehouse(warehouse), batches))
     return {
         "sales_aggregation": sales,
         "inventory_status": inventory,
@@ -67,14 +72,21 @@ class BatchLoader:
         if batch_df.isEmpty():
             return
         obs = Observation(f"pos_batch_{epoch_id}")
-        raw = batch_df.observe(obs, F.count(F.lit(1)).alias("raw_rows")).persist()
+        held: list[DataFrame] = []
+
+        def keep(df: DataFrame) -> DataFrame:
+            held.append(df.persist())
+            return df
+
+        raw = keep(batch_df.observe(obs, F.count(F.lit(1)).alias("raw_rows")))
         try:
-            results = batch_results(raw, self.warehouse(), self.supplier())
+            results = batch_results(raw, self.warehouse(), self.supplier(), keep)
             for name in RESULT_NAMES:
                 load_result(results[name], self.out_dir, name)
             self.last_metrics = {"epoch": epoch_id, **obs.get}
         finally:
-            raw.unpersist()
+            for df in held:
+                df.unpersist()
 
 
 def start_stream(spark: SparkSession, pos_dir: str, out_dir: str, checkpoint: str,
