@@ -11,8 +11,21 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Each task stops after max_rows + 1 rows, and no column is read, so on a
+    parquet table the check touches only row-group metadata.
+    """
+    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+
+
+def fits_broadcast_all(frames: dict[str, DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> dict[str, bool]:
+    """:func:`fits_broadcast` for several frames, counted as concurrent jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
+        futures = {k: pool.submit(fits_broadcast, v, max_rows) for k, v in frames.items()}
+        return {k: f.result() for k, f in futures.items()}
 
 
 def join_small(left: DataFrame, right: DataFrame, on: str | list[str] | Column,

@@ -1,0 +1,22 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that arrives in fewer splits than the cluster has cores.
+
+    A file written as one row group is read by one task, and every row-wise
+    step before the first shuffle (broadcast joins, projections, partial
+    aggregation) then runs on one core. A large input already has thousands
+    of splits and passes through unchanged; only such narrow inputs pay one
+    shuffle to use the whole cluster.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    # Hash of the whole row: deterministic on retry without the sort Spark adds
+    # before a round-robin repartition.
+    return df.repartition(want, *[df[c] for c in df.columns])

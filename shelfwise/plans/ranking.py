@@ -21,6 +21,7 @@ follow); ``method="row_number"`` gives ``ROW_NUMBER()`` over the full order.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
@@ -35,6 +36,15 @@ from .joins import join_small
 
 _PID, _LIDX, _LSTART = "_rk_pid", "_rk_lidx", "_rk_lstart"
 
+# The per-partition numbering runs in Python workers; ship this module's code
+# with the task so executors need not have the package installed.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle: rely on installation
+    pass
+
 
 def _sort_exprs(group: Sequence[str], order: Sequence[tuple[str, bool]],
                 tiebreak: Sequence[str]) -> list[Column]:
