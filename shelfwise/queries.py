@@ -425,7 +425,7 @@ def q_feed_chunks(spark, d):
 
 # ---- M1, M2, M4, K4, H1, N3: streaming -----------------------------------------
 
-STREAM_FILES = 6
+STREAM_FILES = 4
 
 
 def _stream_setup(spark, d, label):

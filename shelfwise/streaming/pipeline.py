@@ -17,6 +17,7 @@ one file per batch folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,27 +36,71 @@ RESULT_NAMES = ("sales_aggregation", "inventory_status", "product_ranking",
 Loader = Callable[[], DataFrame]
 
 
-def batch_results(pos_batch: DataFrame, warehouse: DataFrame, supplier: DataFrame,
-                  keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, DataFrame]:
-    """The five results of one (or several) batches, from raw inputs (K4 body).
+def batch_results(pos_batch: DataFrame, warehouse_clean: DataFrame, delay_alerts: DataFrame,
+                  keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, Callable[[], DataFrame]]:
+    """Builders of the five results of one (or several) batches (K4 body).
 
-    ``keep`` is applied to frames read by more than one result (sales and
-    inventory); the stream passes ``persist`` so each is computed once.
+    Takes the cleaned warehouse and the supplier delay alerts (see
+    :class:`ReferenceCache`); ``keep`` is applied to frames read by more than
+    one result (sales and inventory); the stream passes ``persist``. Builders
+    are returned so that each result, including the ranking's checkpoint job,
+    can be produced in its own job thread.
     """
     pos_clean = C.clean_pos(pos_batch)
     sales = keep(T.sales_aggregation(pos_clean))
     batches = T.batch_ids(pos_batch)
-    inventory = keep(T.inventory_calculation(sales, C.clean_warehouse(warehouse), batches))
+    inventory = keep(T.inventory_calculation(sales, warehouse_clean, batches))
     return {
-        "sales_aggregation": sales,
-        "inventory_status": inventory,
-        "product_ranking": T.product_ranking(sales),
-        "low_stock_alerts": T.low_stock_detection(inventory),
-        "supplier_delay_alerts": T.supplier_alerts_per_batch(
-            T.supplier_delay_detection(C.clean_supplier(supplier)), batches),
+        "sales_aggregation": lambda: sales,
+        "inventory_status": lambda: inventory,
+        "product_ranking": lambda: T.product_ranking(sales),
+        "low_stock_alerts": lambda: T.low_stock_detection(inventory),
+        "supplier_delay_alerts": lambda: T.supplier_alerts_per_batch(delay_alerts, batches),
     }
 
 
+def input_fingerprint(df: DataFrame) -> tuple:
+    """(path, size, modification time) of every file a frame reads."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for f in sorted(df.inputFiles()):
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        st = p.getFileSystem(conf).getFileStatus(p)
+        out.append((f, st.getLen(), st.getModificationTime()))
+    return tuple(out)
+
+
+class ReferenceCache:
+    """Cleaned reference tables, re-derived only when their input files change.
+
+    M4 re-reads warehouse and supplier every micro-batch so edits are seen. A
+    changed, added or removed file changes the fingerprint and the table is
+    cleaned again; otherwise the persisted result of the last clean is reused,
+    instead of re-shuffling a large reference table for every micro-batch.
+    """
+
+    def __init__(self):
+        self._held: dict[str, tuple[tuple, DataFrame]] = {}
+
+    def get(self, name: str, raw: DataFrame, derive: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        fp = input_fingerprint(raw)
+        hit = self._held.get(name)
+        if hit is not None and hit[0] == fp:
+            return hit[1]
+        if hit is not None:
+            hit[1].unpersist()
+        df = derive(raw).persist()
+        self._held[name] = (fp, df)
+        return df
+
+    def clear(self) -> None:
+        for _, df in self._held.values():
+            df.unpersist()
+        self._held.clear()
+
+
 class BatchLoader:
     """The ``foreachBatch`` function: clean once, five results, replace partitions."""
 
@@ -63,6 +108,7 @@ class BatchLoader:
         self.out_dir = out_dir
         self.warehouse = warehouse
         self.supplier = supplier
+        self.refs = ReferenceCache()
         self.last_metrics: dict = {}
 
     def __call__(self, batch_df: DataFrame, epoch_id: int) -> None:
@@ -80,9 +126,17 @@ class BatchLoader:
 
         raw = keep(batch_df.observe(obs, F.count(F.lit(1)).alias("raw_rows")))
         try:
-            results = batch_results(raw, self.warehouse(), self.supplier(), keep)
-            for name in RESULT_NAMES:
-                load_result(results[name], self.out_dir, name)
+            wh = self.refs.get("warehouse", self.warehouse(), C.clean_warehouse)
+            alerts = self.refs.get("supplier", self.supplier(),
+                                   lambda df: T.supplier_delay_detection(C.clean_supplier(df)))
+            results = batch_results(raw, wh, alerts, keep)
+            # The five loads are independent jobs: submit them together so a
+            # small micro-batch keeps every core busy.
+            with ThreadPoolExecutor(max_workers=len(RESULT_NAMES)) as pool:
+                done = [pool.submit(lambda n: load_result(results[n](), self.out_dir, n), name)
+                        for name in RESULT_NAMES]
+                for f in done:
+                    f.result()
             self.last_metrics = {"epoch": epoch_id, **obs.get}
         finally:
             for df in held:
@@ -96,17 +150,25 @@ def start_stream(spark: SparkSession, pos_dir: str, out_dir: str, checkpoint: st
     continuously; otherwise it drains what is there (availableNow) and stops."""
     schema = schemas.POS_BATCHED if with_batch_column else schemas.POS
     stream = pos_stream(spark, pos_dir, files_per_trigger, schema)
-    writer = (stream.writeStream.foreachBatch(BatchLoader(out_dir, warehouse, supplier))
+    loader = BatchLoader(out_dir, warehouse, supplier)
+    writer = (stream.writeStream.foreachBatch(loader)
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
-    return writer.start()
+    q = writer.start()
+    q._shelfwise_loader = loader
+    return q
 
 
 def run_stream(spark: SparkSession, pos_dir: str, out_dir: str, checkpoint: str,
                warehouse: Loader, supplier: Loader, **kw) -> None:
     """Drain every POS file not yet recorded in ``checkpoint`` and stop (M1, M2)."""
     q = start_stream(spark, pos_dir, out_dir, checkpoint, warehouse, supplier, **kw)
-    q.awaitTermination()
+    try:
+        q.awaitTermination()
+    finally:
+        loader = getattr(q, "_shelfwise_loader", None)
+        if loader is not None:
+            loader.refs.clear()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
