@@ -411,6 +411,13 @@ def q_product_catalog(spark, d):
     return FD.product_catalog(raw_clean(spark, d))
 
 
+@register("product_count", _raw(
+    "SELECT cast(count(DISTINCT product_name) AS bigint) AS unique_products FROM raw_clean"))
+def q_product_count(spark, d):
+    """Distinct products in the cleaned raw sales."""
+    return FD.product_count(raw_clean(spark, d))
+
+
 @register("feed_chunks", _raw("""
 SELECT concat('TXN-', cast(r.row_id AS varchar)) AS txn_id, c.product_id, r.product_name,
        r.region AS store_id, r.order_quantity AS quantity_sold, r.unit_price,

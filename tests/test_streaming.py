@@ -119,3 +119,44 @@ def test_latest_batch_prunes_partitions(spark, tmp_dir):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(batch_id" in plan or "dynamicpruning" in plan.lower() \
         or "PartitionFilters: [" in plan
+
+
+def test_m3_processing_time_trigger(spark, tmp_dir):
+    feed, out, ckpt = (os.path.join(tmp_dir, x) for x in ("feed", "out", "ckpt"))
+    _write(feed, "a.json", [_row("t1", 1, qty=2)], 1_600_000_000)
+    wh, sup = _refs(spark)
+    q = P.start_stream(spark, feed, out, ckpt, wh, sup, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = [(r.batch_id, r.units_sold) for r in result_table(spark, out, "sales_aggregation").collect()]
+    assert got == [(1, 2)]
+
+
+def test_k2_create_result_tables(spark, tmp_dir):
+    from shelfwise.sinks.tables import create_result_tables
+    names = create_result_tables(spark, tmp_dir)
+    assert len(names) == 5
+    load_result(spark.createDataFrame([(3, "P1", 5, 20, True)],
+                                      "batch_id int, product_id string, current_stock bigint, "
+                                      "reorder_threshold int, low_stock_flag boolean"),
+                tmp_dir, "low_stock_alerts")
+    spark.sql("REFRESH TABLE low_stock_alerts")
+    spark.sql("MSCK REPAIR TABLE low_stock_alerts")
+    rows = spark.sql("SELECT product_id, batch_id FROM low_stock_alerts").collect()
+    assert [(r.product_id, r.batch_id) for r in rows] == [("P1", 3)]
+    for n in names:
+        spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+def test_s3_supplier_multiline_json(spark, tmp_dir):
+    from shelfwise.sources.files import supplier_json
+    path = os.path.join(tmp_dir, "supplier_updates.json")
+    with open(path, "w") as fh:
+        json.dump([{"po_id": "PO-1", "product_id": "P1", "supplier_id": "SUP-A",
+                    "expected_delivery_date": "2024-01-10", "actual_delivery_date": "2024-01-13"},
+                   {"po_id": "PO-2", "product_id": "P2", "supplier_id": "SUP-B",
+                    "expected_delivery_date": "2024-01-10", "actual_delivery_date": "2024-01-11"}], fh, indent=2)
+    rows = supplier_json(spark, path).collect()
+    assert sorted(r.po_id for r in rows) == ["PO-1", "PO-2"]
