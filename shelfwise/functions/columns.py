@@ -34,10 +34,19 @@ def long_sum(c: str | Column) -> Column:
 
 
 def parse_timestamp(c: str | Column, fmt: str | None = None) -> Column:
-    """ISO text to timestamp; bad text gives null instead of failing the job."""
+    """ISO text to a zone-free timestamp; bad text gives null instead of failing the job.
+
+    The feeds carry wall-clock text without a zone, so the value is kept as
+    ``timestamp_ntz`` and reads the same under any session time zone.
+    """
     if fmt is None:
-        return F.try_to_timestamp(col(c))
-    return F.try_to_timestamp(col(c), F.lit(fmt))
+        return col(c).try_cast("timestamp_ntz")
+    return F.try_to_timestamp(col(c), F.lit(fmt)).cast("timestamp_ntz")
+
+
+def parse_event_time(c: str | Column) -> Column:
+    """ISO text to an instant (session zone), as event-time watermarks require."""
+    return F.try_to_timestamp(col(c))
 
 
 def parse_date(c: str | Column) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.columns import parse_timestamp
+from ..functions.columns import parse_event_time
 from ..operators import clean as C
 from ..operators import transforms as T
 from ..sinks.tables import load_result
@@ -184,7 +184,7 @@ def dedup_stream(spark: SparkSession, pos_dir: str, out_dir: str, checkpoint: st
     """
     stream = pos_stream(spark, pos_dir, files_per_trigger, schemas.POS_BATCHED)
     kept = (C.pos_valid(C.pos_drop_nulls(stream))
-            .withColumn("event_time", parse_timestamp("txn_timestamp"))
+            .withColumn("event_time", parse_event_time("txn_timestamp"))
             .withWatermark("event_time", delay)
             .dropDuplicatesWithinWatermark(["txn_id"]))
     q = (kept.writeStream.format("parquet").option("path", out_dir)
