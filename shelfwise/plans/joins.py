@@ -10,13 +10,35 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+# Results of size checks, like table statistics: keyed by the frame's plan and
+# the exact files it reads, so a rewritten or added file forces a new count.
+_CHECKED: dict[tuple, bool] = {}
+
+
+def _check_key(df: DataFrame, max_rows: int) -> tuple | None:
+    try:
+        files = tuple(sorted(df.inputFiles()))
+    except Exception:  # noqa: BLE001 - frames without files are always counted
+        return None
+    if not files:
+        return None
+    return (df.semanticHash(), files, max_rows)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Each task stops after max_rows + 1 rows, and no column is read, so on a
-    parquet table the check touches only row-group metadata.
+    parquet table the check touches only row-group metadata. The answer is
+    remembered for the same plan over the same files.
     """
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+    key = _check_key(df, max_rows)
+    if key is not None and key in _CHECKED:
+        return _CHECKED[key]
+    ok = df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _CHECKED[key] = ok
+    return ok
 
 
 def fits_broadcast_all(frames: dict[str, DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> dict[str, bool]:

@@ -33,7 +33,11 @@ def load_result(df: DataFrame, base: str, name: str, batch_id: int | None = None
     path = f"{base.rstrip('/')}/{name}"
     out = stamp(df, batch_id)
     cols = [c for c in out.columns if c != BATCH] + [BATCH]
-    (out.select(*cols).write.mode("overwrite")
+    # Cluster rows by batch before writing: each task then writes one file per
+    # batch it holds (about tasks + batches files instead of tasks x batches),
+    # and the second range key splits a batch holding most rows over tasks.
+    spread_by = [c for c in cols if c not in (BATCH, "loaded_at")][:1]
+    (out.select(*cols).repartitionByRange(BATCH, *spread_by).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH).parquet(path))
     return path
