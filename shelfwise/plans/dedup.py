@@ -65,6 +65,6 @@ def split_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tup
 def expand_counts(df: DataFrame, count_col: str, chunk: int = 65536) -> DataFrame:
     """Emit each row ``count_col`` times; arrays built per row stay below ``chunk``."""
     n = F.col(count_col)
-    chunks = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk).cast("bigint"))))
+    chunks = df.filter(n > 0).withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk).cast("bigint"))))
     size = F.least(F.lit(chunk).cast("bigint"), n - F.col("_chunk") * chunk).cast("int")
     return chunks.withColumn("_one", F.explode(F.array_repeat(F.lit(0), size))).drop("_chunk", "_one")
