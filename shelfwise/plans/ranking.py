@@ -129,7 +129,11 @@ def distributed_rank(df: DataFrame, order: Sequence[tuple[str, bool]],
     )
     schema = StructType(ranged.schema.fields + [
         StructField(_LIDX, LongType(), False), StructField(_LSTART, LongType(), False)])
-    numbered = ranged.mapInArrow(_local_numbering(group, order_cols), schema).checkpoint(eager=True)
+    # Persist first: a reliable checkpoint writes in a second job, which then
+    # reads the cached partitions instead of recomputing them.
+    staged = ranged.mapInArrow(_local_numbering(group, order_cols), schema).persist()
+    numbered = staged.checkpoint(eager=True)
+    staged.unpersist()
 
     keys = [_PID] + group
     first = F.struct(*[F.col(c) for c in order_cols])
