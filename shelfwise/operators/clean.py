@@ -56,21 +56,23 @@ def clean_pos(df: DataFrame) -> DataFrame:
     return pos_parse(pos_dedup(pos_valid(pos_drop_nulls(df))))
 
 
-def _null_cond() -> F.Column:
+def null_condition() -> F.Column:
+    """Row fails C1 (a required field is null, or the price is NaN)."""
     return any_null(["product_id"], nan_is_null=False) | any_null(["quantity_sold"], nan_is_null=False) \
         | any_null(["unit_price"])
 
 
-def _invalid_cond() -> F.Column:
+def invalid_condition() -> F.Column:
+    """Row fails C2 (quantity or price not strictly positive)."""
     return ~((F.col("quantity_sold") > 0) & (F.col("unit_price") > 0))
 
 
 def pos_rejects(df: DataFrame) -> DataFrame:
     """H6: every dropped row once, with the first rule it failed (null, invalid, duplicate)."""
-    nulls = df.filter(_null_cond()).withColumn("reason", F.lit(REASON_NULL))
-    rest = df.filter(~_null_cond())
-    invalid = rest.filter(_invalid_cond()).withColumn("reason", F.lit(REASON_INVALID))
-    valid = rest.filter(~_invalid_cond())
+    nulls = df.filter(null_condition()).withColumn("reason", F.lit(REASON_NULL))
+    rest = df.filter(~null_condition())
+    invalid = rest.filter(invalid_condition()).withColumn("reason", F.lit(REASON_INVALID))
+    valid = rest.filter(~invalid_condition())
     _, extra = split_first(valid, _scope(df, "txn_id"), POS_ORDER)
     dups = extra.withColumn("reason", F.lit(REASON_DUPLICATE))
     return nulls.unionByName(invalid).unionByName(dups)
@@ -83,12 +85,12 @@ def clean_report(df: DataFrame) -> DataFrame:
     (batch, txn_id) first, so duplicates are counted without a window.
     """
     keys = _scope(df, "txn_id")
-    is_null = _null_cond()
-    is_valid = ~is_null & ~_invalid_cond()
+    is_null = null_condition()
+    is_valid = ~is_null & ~invalid_condition()
     per_txn = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("raw"),
         F.count_if(is_null).alias("nulls"),
-        F.count_if(~is_null & _invalid_cond()).alias("invalid"),
+        F.count_if(~is_null & invalid_condition()).alias("invalid"),
         F.count_if(is_valid).alias("valid"),
     )
     out_keys = keys[:-1]

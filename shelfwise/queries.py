@@ -531,6 +531,18 @@ def q_result_scan(spark, d):
     return stored.unionByName(never_written).select(*low.columns)
 
 
+@register("feed_file_count", _raw(
+    "SELECT cast(count(DISTINCT (rn - 1) // 700) AS bigint) AS file_count "
+    "FROM (SELECT row_number() OVER (ORDER BY r.order_date, r.row_id) AS rn "
+    "      FROM raw_clean r JOIN catalog c USING (product_name))"))
+def q_feed_file_count(spark, d):
+    """S7 + K5: files in the written feed, one per 700-row chunk."""
+    root = work_dir(spark, "feed-count")
+    clean = raw_clean(spark, d)
+    FD.write_feed(FD.feed_chunks(clean, FD.product_catalog(clean)), f"{root}/pos_sales")
+    return R.feed_file_count(S.file_listing(spark, f"{root}/pos_sales"))
+
+
 @register("feed_files")
 def q_feed_files(spark, d):
     """S7 + O4 + K5: the prepared feed written as chunk folders, newest 10 files listed."""

@@ -124,7 +124,11 @@ class BatchLoader:
             held.append(df.persist())
             return df
 
-        raw = keep(batch_df.observe(obs, F.count(F.lit(1)).alias("raw_rows")))
+        # Raw and rejected-by-rule counts, gathered by the first job that reads the batch
+        raw = keep(batch_df.observe(
+            obs, F.count(F.lit(1)).alias("raw_rows"),
+            F.count_if(C.null_condition()).alias("null_rows"),
+            F.count_if(~C.null_condition() & C.invalid_condition()).alias("invalid_rows")))
         try:
             wh = self.refs.get("warehouse", self.warehouse(), C.clean_warehouse)
             alerts = self.refs.get("supplier", self.supplier(),

@@ -160,3 +160,14 @@ def test_s3_supplier_multiline_json(spark, tmp_dir):
                     "expected_delivery_date": "2024-01-10", "actual_delivery_date": "2024-01-11"}], fh, indent=2)
     rows = supplier_json(spark, path).collect()
     assert sorted(r.po_id for r in rows) == ["PO-1", "PO-2"]
+
+
+def test_c9_observed_counts(spark, tmp_dir):
+    feed, out, ckpt = (os.path.join(tmp_dir, x) for x in ("feed", "out", "ckpt"))
+    _write(feed, "a.json", [_row("t1", 1), _row("t1", 1), _row("t2", 1, qty=-1), _row("t3", 1, qty=None)],
+           1_600_000_000)
+    wh, sup = _refs(spark)
+    q = P.start_stream(spark, feed, out, ckpt, wh, sup)
+    q.awaitTermination()
+    m = q._shelfwise_loader.last_metrics
+    assert (m["raw_rows"], m["null_rows"], m["invalid_rows"]) == (4, 1, 1)
