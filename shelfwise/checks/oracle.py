@@ -174,6 +174,22 @@ latest_inv AS (
   WHERE rn = 1
 )"""
 
+RAW_CLEAN = """
+raw_clean AS (
+  SELECT row_id, product_name, region, order_quantity, unit_price,
+         try_cast(order_date AS timestamp) AS order_date
+  FROM raw_sales
+  WHERE product_name IS NOT NULL AND order_quantity IS NOT NULL AND unit_price IS NOT NULL
+    AND NOT isnan(unit_price) AND order_date IS NOT NULL
+    AND order_quantity > 0 AND unit_price > 0 AND try_cast(order_date AS timestamp) IS NOT NULL
+)"""
+
+CATALOG = """
+catalog AS (
+  SELECT product_name, printf('P%04d', row_number() OVER (ORDER BY min(row_id))) AS product_id
+  FROM raw_clean GROUP BY product_name
+)"""
+
 # name -> (cte text, dependencies)
 _CTES = {
     "pos": (POS, []),
@@ -194,6 +210,8 @@ _CTES = {
     "delays": (DELAYS, ["supplier_clean"]),
     "delay_table": (DELAY_TABLE, ["delays", "batches"]),
     "latest_inv": (LATEST_INV, ["inventory"]),
+    "raw_clean": (RAW_CLEAN, ["raw_sales"]),
+    "catalog": (CATALOG, ["raw_clean"]),
 }
 
 

@@ -381,23 +381,8 @@ def q_latest_delays(spark, d):
 
 # ---- C8, T6-T8, N2 -------------------------------------------------------------
 
-RAW_CLEAN_SQL = """
-raw_clean AS (
-  SELECT row_id, product_name, region, order_quantity, unit_price,
-         try_cast(order_date AS timestamp) AS order_date
-  FROM raw_sales
-  WHERE product_name IS NOT NULL AND order_quantity IS NOT NULL AND unit_price IS NOT NULL
-    AND NOT isnan(unit_price) AND order_date IS NOT NULL
-    AND order_quantity > 0 AND unit_price > 0 AND try_cast(order_date AS timestamp) IS NOT NULL
-),
-catalog AS (
-  SELECT product_name, printf('P%04d', row_number() OVER (ORDER BY min(row_id))) AS product_id
-  FROM raw_clean GROUP BY product_name
-)"""
-
-
 def _raw(select: str) -> str:
-    return O.with_ctes(select, "raw_sales").replace(")\n", ")," + RAW_CLEAN_SQL + "\n", 1)
+    return O.with_ctes(select, "raw_clean", "catalog")
 
 
 @register("raw_sales_clean", _raw("SELECT * FROM raw_clean"))
