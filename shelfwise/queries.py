@@ -20,7 +20,7 @@ from .session import prepare, work_dir
 from .sinks import tables as K
 from .sources import files as S
 from .sources import testviews as V
-from .streaming import pipeline as P
+from .streaming import microbatch as P
 from .streaming import staging as ST
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise import schemas
 from shelfwise.sinks.tables import load_result
 from shelfwise.sources.files import result_table
-from shelfwise.streaming import pipeline as P
+from shelfwise.streaming import microbatch as P
 
 
 def _write(folder, name, rows, mtime):
