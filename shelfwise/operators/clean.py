@@ -68,14 +68,17 @@ def invalid_condition() -> F.Column:
 
 
 def pos_rejects(df: DataFrame) -> DataFrame:
-    """H6: every dropped row once, with the first rule it failed (null, invalid, duplicate)."""
-    nulls = df.filter(null_condition()).withColumn("reason", F.lit(REASON_NULL))
-    rest = df.filter(~null_condition())
-    invalid = rest.filter(invalid_condition()).withColumn("reason", F.lit(REASON_INVALID))
-    valid = rest.filter(~invalid_condition())
+    """H6: every dropped row once, with the first rule it failed (null, invalid, duplicate).
+
+    Null and invalid rows are labelled in one narrow pass; only the valid rows
+    go through the duplicate split, so the input is read by two branches.
+    """
+    reason = F.when(null_condition(), F.lit(REASON_NULL)).when(invalid_condition(), F.lit(REASON_INVALID))
+    labeled = df.withColumn("reason", reason)
+    bad = labeled.filter(F.col("reason").isNotNull())
+    valid = labeled.filter(F.col("reason").isNull()).drop("reason")
     _, extra = split_first(valid, _scope(df, "txn_id"), POS_ORDER)
-    dups = extra.withColumn("reason", F.lit(REASON_DUPLICATE))
-    return nulls.unionByName(invalid).unionByName(dups)
+    return bad.unionByName(extra.withColumn("reason", F.lit(REASON_DUPLICATE)))
 
 
 def clean_report(df: DataFrame) -> DataFrame:

@@ -60,16 +60,26 @@ def batch_results(pos_batch: DataFrame, warehouse_clean: DataFrame, delay_alerts
 
 
 def input_fingerprint(df: DataFrame) -> tuple:
-    """(path, size, modification time) of every file a frame reads."""
+    """(path, size, modification time) of every file a frame reads.
+
+    One listing per folder, not one status call per file, so a reference
+    table of many files costs a few listings per micro-batch.
+    """
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
+    files = sorted(df.inputFiles())
+    by_dir: dict[str, set[str]] = {}
+    for f in files:
+        by_dir.setdefault(f.rsplit("/", 1)[0], set()).add(f)
     out = []
-    for f in sorted(df.inputFiles()):
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        st = p.getFileSystem(conf).getFileStatus(p)
-        out.append((f, st.getLen(), st.getModificationTime()))
-    return tuple(out)
+    for folder, wanted in sorted(by_dir.items()):
+        p = jvm.org.apache.hadoop.fs.Path(folder)
+        for st in p.getFileSystem(conf).listStatus(p):
+            name = st.getPath().toString()
+            if name in wanted:
+                out.append((name, st.getLen(), st.getModificationTime()))
+    return tuple(sorted(out))
 
 
 class ReferenceCache:

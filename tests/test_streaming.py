@@ -171,3 +171,24 @@ def test_c9_observed_counts(spark, tmp_dir):
     q.awaitTermination()
     m = q._shelfwise_loader.last_metrics
     assert (m["raw_rows"], m["null_rows"], m["invalid_rows"]) == (4, 1, 1)
+
+
+def test_reference_cache_sees_edits(spark, tmp_dir):
+    from shelfwise.operators import clean as C
+    from shelfwise.sources.files import warehouse_csv
+    path = os.path.join(tmp_dir, "warehouse.csv")
+
+    def write(stock, mtime):
+        with open(path, "w") as fh:
+            fh.write(f"product_id,warehouse_stock,reorder_threshold\nP1,{stock},20\n")
+        os.utime(path, (mtime, mtime))
+
+    cache = P.ReferenceCache()
+    write(10, 1_600_000_000)
+    first = cache.get("wh", warehouse_csv(spark, path), C.clean_warehouse)
+    again = cache.get("wh", warehouse_csv(spark, path), C.clean_warehouse)
+    assert first is again and first.collect()[0].warehouse_stock == 10
+    write(99, 1_600_000_500)
+    edited = cache.get("wh", warehouse_csv(spark, path), C.clean_warehouse)
+    assert edited is not first and edited.collect()[0].warehouse_stock == 99
+    cache.clear()
