@@ -68,18 +68,19 @@ def input_fingerprint(df: DataFrame) -> tuple:
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    files = sorted(df.inputFiles())
     by_dir: dict[str, set[str]] = {}
-    for f in files:
-        by_dir.setdefault(f.rsplit("/", 1)[0], set()).add(f)
+    for f in df.inputFiles():
+        folder, name = f.rsplit("/", 1)
+        by_dir.setdefault(folder, set()).add(name)
     out = []
     for folder, wanted in sorted(by_dir.items()):
         p = jvm.org.apache.hadoop.fs.Path(folder)
         for st in p.getFileSystem(conf).listStatus(p):
-            name = st.getPath().toString()
+            name = st.getPath().getName()
             if name in wanted:
-                out.append((name, st.getLen(), st.getModificationTime()))
-    return tuple(sorted(out))
+                out.append((folder, name, st.getLen(), st.getModificationTime()))
+    missing = sum(len(w) for w in by_dir.values()) - len(out)
+    return tuple(sorted(out)) + (("unlisted", missing),)
 
 
 class ReferenceCache:
