@@ -63,8 +63,15 @@ def split_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tup
 
 
 def expand_counts(df: DataFrame, count_col: str, chunk: int = 65536) -> DataFrame:
-    """Emit each row ``count_col`` times; arrays built per row stay below ``chunk``."""
+    """Emit each row ``count_col`` times; arrays built per row stay below ``chunk``.
+
+    A row first becomes one descriptor per chunk of copies; descriptors are
+    hash-spread on (row, chunk) so a row copied a billion times is re-emitted
+    by many tasks, not one.
+    """
     n = F.col(count_col)
-    chunks = df.filter(n > 0).withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk).cast("bigint"))))
+    last_chunk = F.floor((n - 1) / chunk).cast("bigint")
+    chunks = df.filter(n > 0).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
+    chunks = chunks.repartition(*[F.col(c) for c in chunks.columns])
     size = F.least(F.lit(chunk).cast("bigint"), n - F.col("_chunk") * chunk).cast("int")
     return chunks.withColumn("_one", F.explode(F.array_repeat(F.lit(0), size))).drop("_chunk", "_one")
