@@ -13,7 +13,8 @@ hold a third of all rows, sorts everything in one task. Here:
 4. A summary of (partition, group) -> row count, first and last order value
    (at most partitions + groups rows) gives each range its offset inside its
    group, and resolves runs of equal values that straddle range boundaries.
-5. The summary joins back (broadcast only after its size is checked).
+5. The summary joins back; it is broadcast from a copy taken behind a row cap,
+   and joined as a distributed table when it is larger.
 
 ``method="rank"`` gives SQL ``RANK()`` (ties share the smallest position, gaps
 follow); ``method="row_number"`` gives ``ROW_NUMBER()`` over the full order.
@@ -35,6 +36,7 @@ from ..session import checkpoint_dir
 from .joins import join_small
 
 _PID, _LIDX, _LSTART = "_rk_pid", "_rk_lidx", "_rk_lstart"
+SUMMARY_MAX_ROWS = 100_000
 
 # The per-partition numbering runs in Python workers; ship this module's code
 # with the task so executors need not have the package installed.
@@ -161,12 +163,19 @@ def distributed_rank(df: DataFrame, order: Sequence[tuple[str, bool]],
         summary = summary.join(starts, cond, "left").select(*summary.columns, "_run_start")
 
     summary = summary.drop("_last", "_last_start", "_n")
+    summary = summary.select(*[F.col(c).alias(f"_s_{c}") for c in summary.columns])
     cond = None
-    renamed = summary.select(*[F.col(c).alias(f"_s_{c}") for c in summary.columns])
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(f"_s_{k}"))
         cond = c if cond is None else cond & c
-    joined = join_small(numbered, renamed, cond, "inner")
+    # The summary is range metadata (at most ranges + groups rows), like the
+    # bounds a range partitioner gathers: taken once, with a cap, and broadcast
+    # from that copy; beyond the cap it stays a distributed join.
+    rows = summary.limit(SUMMARY_MAX_ROWS + 1).collect()
+    if len(rows) <= SUMMARY_MAX_ROWS:
+        joined = numbered.join(F.broadcast(spark.createDataFrame(rows, summary.schema)), cond, "inner")
+    else:
+        joined = join_small(numbered, summary, cond, "inner", small=False)
     off = F.col("_s__off")
     if method == "row_number":
         value = off + F.col(_LIDX) + 1
