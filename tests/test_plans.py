@@ -2,7 +2,6 @@
 hot keys handled without collecting a group into one task."""
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
@@ -89,4 +88,3 @@ def test_only_base_tables_broadcast(spark):
     for block in plan.split("BroadcastExchange")[1:]:
         head = block.split("BroadcastHashJoin")[0]
         assert "lineitem.parquet" not in head
-    assert F is not None
