@@ -121,11 +121,15 @@ def distributed_rank(df: DataFrame, order: Sequence[tuple[str, bool]],
     order_cols = [c for c, _ in order]
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = _sort_exprs(group, order, tiebreak)
+    # Ranges: the session's shuffle width, at most four per core of the cluster
+    # (each range costs a Python task and a checkpoint file).
+    n = partitions or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                 4 * spark.sparkContext.defaultParallelism))
+    by_range = df.repartitionByRange(n, *sort)
 
     ranged = (
-        df.repartitionByRange(n, *sort)
+        by_range
         .sortWithinPartitions(*sort)
         .withColumn(_PID, F.spark_partition_id())
     )
