@@ -12,7 +12,7 @@ are the groups of near copies.
 3. Classes that share a band key are paired with the bucket's hub (its
    smallest class), so a bucket of n classes gives n - 1 pairs. The bits in
    which two odd sketches differ tell how many samples differ; a pair whose
-   estimate lies far below the threshold (``FLOOR``, over six standard
+   estimate lies far below the threshold (``FLOOR``, five standard
    deviations of the samples) goes no further.
 4. The rest are confirmed on the full shingle sets, derived again from the text
    of one document of each class concerned.
@@ -45,7 +45,7 @@ THRESHOLD = 75
 PERMUTATIONS = 128
 BANDS = 32
 SKETCH_LONGS = 16
-FLOOR = 0.5
+FLOOR = 0.56
 BLOCK = 512
 SEED = 20240607
 
