@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import min_label_components, scratch
+from .common import bit_filter, maybe_in, min_label_components, scratch
 
 WORDS = 5
 THRESHOLD = 75
@@ -109,7 +109,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches):
         family = _family(PERMUTATIONS)
-        for batch in batches:
+        for batch in (b.slice(i, 2000) for b in batches for i in range(0, b.num_rows, 2000)):
             n, cls, bands, odd = [], [], [], []
             for text in batch.column(1):
                 grams = shingle_set(text.as_py(), words)
@@ -145,25 +145,33 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             yield pa.record_batch([pa.array(cls, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
                                   names=["cls", "grams"])
 
-    texts = docs.join(wanted, docs["id"].eqNullSafe(wanted["wid"])).select("cls", "text")
+    # the bit filter keeps most texts out of the shuffle; the join decides
+    bits = scratch(bit_filter(wanted.select(F.xxhash64("wid").alias("place")), "place"), "odd-bits")
+    some = maybe_in(docs.withColumn("place", F.xxhash64("id")), "place", bits)
+    texts = some.join(wanted, some["id"].eqNullSafe(wanted["wid"])).select("cls", "text")
     return texts.mapInArrow(run, "cls binary, grams array<bigint>").dropDuplicates(["cls"])
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, threshold: int) -> DataFrame:
+def _wanted(classes: DataFrame, some: DataFrame) -> DataFrame:
+    return scratch(classes.join(some.distinct(), "cls").select("cls", F.col("id").alias("wid")), "odd-wanted")
+
+
+def _hub_links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, threshold: int) -> DataFrame:
     """Those of ``pairs`` (a, b: classes) that pass the odd sketch and then the exact comparison."""
     one = classes.select("cls", "n", "odd")
     left, right = (one.select(*[F.col(c).alias(f"{c}_{s}") for c in one.columns]) for s in "ab")
-    rough = (pairs.join(left, F.col("a") == F.col("cls_a")).join(right, F.col("b") == F.col("cls_b"))
-             .where(_close("a", "b", threshold)).select("a", "b"))
-    rough = scratch(rough, "odd-rough")
-    wanted = scratch(classes.join(rough.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "cls")
-                     .select("cls", F.col("id").alias("wid")), "odd-wanted")
-    sets = scratch(_sets(docs, wanted, words), "odd-sets")
-    both = (rough.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a")
-            .join(sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b"))
-    counted = scratch(both.select("a", "b", F.size(F.array_intersect("ga", "gb")).cast("bigint").alias("both"),
-                                  F.size("ga").alias("na"), F.size("gb").alias("nb")), "odd-counted")
-    return counted.where(F.expr(f"100 * both >= {threshold} * (na + nb - both)")).select("a", "b")
+    rough = scratch(pairs.join(left, F.col("a") == F.col("cls_a")).join(right, F.col("b") == F.col("cls_b"))
+                    .where(_close("a", "b", threshold)).select("a", "b", "n_a", "n_b"), "odd-rough")
+    sets = scratch(_sets(docs, _wanted(classes, rough.select(F.explode(F.array("a", "b")).alias("cls"))), words), "odd-sets")
+    return (rough.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("grams_a")), "a")
+            .join(sets.select(F.col("cls").alias("b"), F.col("grams").alias("grams_b")), "b")
+            .where(_similar("a", "b", threshold)).select("a", "b"))
+
+
+def _similar(a: str, b: str, threshold: int) -> str:
+    """SQL: the full sets are similar enough."""
+    return (f"{100 + threshold} * cast(size(array_intersect(grams_{a}, grams_{b})) as bigint)"
+            f" >= {threshold} * (n_{a} + n_{b})")
 
 
 def _close(a: str, b: str, threshold: int):
@@ -175,8 +183,13 @@ def _close(a: str, b: str, threshold: int):
     return F.expr(f"100 * least(n_{a}, n_{b}) >= {threshold} * greatest(n_{a}, n_{b}) and {differ} <= {most}")
 
 
-def _rest(shared: DataFrame, classes: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of one bucket in different components, not with its hub, that the odd sketches allow."""
+def _rest_links(shared: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame, words: int,
+                threshold: int) -> DataFrame:
+    """Links between classes of one bucket in different components that aren't its hub.
+
+    Pairs are compared where two blocks meet; first only the classes that have
+    some partner by the odd sketch are kept, then only confirmed links leave.
+    """
     members = scratch(shared.where("members > 2").join(
         labels.select(F.col("node").alias("cls"), "component"), "cls", "left")
         .select("key", "hub", "cls", F.coalesce("component", "cls").alias("component")), "odd-members")
@@ -184,18 +197,23 @@ def _rest(shared: DataFrame, classes: DataFrame, labels: DataFrame, threshold: i
                                                F.count("*").alias("members"))
                     .where("lo <> hi").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")),
                     "odd-mixed")
-    inside = (members.where("cls <> hub").join(mixed, "key")
-              .withColumn("mine", F.expr("cast(pmod(xxhash64(cls, 7), blocks) as int)"))
-              .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-              .select("key", "cls", "component", "mine", F.least("mine", "other").alias("lo"),
-                      F.greatest("mine", "other").alias("hi"))
-              .join(classes.select("cls", "n", "odd"), "cls"))
-    inside = scratch(inside, "odd-blocks")
-    left, right = (inside.select("key", "lo", "hi", *[F.col(c).alias(f"{c}_{s}") for c in
-                                                       ("cls", "component", "mine", "n", "odd")]) for s in "ab")
-    return (left.join(right, ["key", "lo", "hi"])
-            .where(F.expr("component_a <> component_b and cls_a < cls_b and (mine_a <> mine_b or lo = hi)")
-                   & _close("a", "b", threshold))
+    inside = scratch(members.where("cls <> hub").join(mixed, "key")
+                     .withColumn("mine", F.expr("cast(pmod(xxhash64(cls, 7), blocks) as int)"))
+                     .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+                     .select("key", "cls", "component", "mine", F.least("mine", "other").alias("lo"),
+                             F.greatest("mine", "other").alias("hi"))
+                     .join(classes.select("cls", "n", "odd"), "cls"), "odd-blocks")
+    met = F.expr("key_a = key_b and lo_a = lo_b and hi_a = hi_b and component_a <> component_b"
+                 " and (mine_a <> mine_b or lo_a = hi_a)") & _close("a", "b", threshold)
+    left, right = (inside.select(*[F.col(c).alias(f"{c}_{s}") for c in inside.columns]) for s in "ab")
+    active = scratch(left.join(right, met, "left_semi"), "odd-active")
+    if active.isEmpty():
+        return labels.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    sets = _sets(docs, _wanted(classes, active.select(F.col("cls_a").alias("cls"))), words)
+    full = scratch(active.join(sets.select(F.col("cls").alias("cls_a"), F.col("grams").alias("grams_a")), "cls_a"),
+                   "odd-full")
+    other = full.select(*[F.col(c).alias(c[:-1] + "b") for c in full.columns])
+    return (full.join(other, met & F.expr(f"cls_a < cls_b and {_similar('a', 'b', threshold)}"))
             .select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct())
 
 
@@ -215,12 +233,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = keys.groupBy("key").agg(F.min("cls").alias("hub"), F.count("*").alias("members")).where("members > 1")
     shared = scratch(keys.join(scratch(buckets, "odd-buckets"), "key"), "odd-shared")
     pairs = shared.where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
-    links = scratch(_confirmed(pairs, classes, plain, words, threshold), "odd-links")
+    links = scratch(_hub_links(pairs, classes, plain, words, threshold), "odd-links")
     labels = min_label_components(links, "odd")
-    more = scratch(_rest(shared, classes, labels, threshold), "odd-rest")
+    more = scratch(_rest_links(shared, classes, labels, plain, words, threshold), "odd-rest")
     if not more.isEmpty():
-        links = links.unionByName(scratch(_confirmed(more, classes, plain, words, threshold), "odd-links"))
-        labels = min_label_components(links, "odd")
+        labels = min_label_components(links.unionByName(more), "odd")
     grouped = classes.select("cls", "id").join(labels.select(F.col("node").alias("cls"), "component"), "cls", "left") \
         .withColumn("component", F.coalesce("component", "cls"))
     smallest = grouped.groupBy("component").agg(F.min("id").alias("component_id"))
