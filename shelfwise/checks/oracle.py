@@ -96,7 +96,7 @@ SALES_AGG = """
 sales_agg AS (
   SELECT batch_id, product_id, product_name, store_id,
          cast(sum(quantity_sold) AS bigint) AS units_sold,
-         cast(sum(cast(quantity_sold * cast(unit_price AS decimal(12,2)) AS decimal(18,2))) AS double) AS total_revenue,
+         cast(sum(quantity_sold * cast(cast(unit_price AS varchar) AS decimal(24,10))) AS double) AS total_revenue,
          cast(count(txn_id) AS bigint) AS txn_count
   FROM pos_clean
   GROUP BY batch_id, product_id, product_name, store_id
@@ -145,7 +145,7 @@ ranking AS (
   SELECT batch_id, product_id, product_name, total_revenue, units_sold,
          cast(rank() OVER (PARTITION BY batch_id ORDER BY total_revenue DESC) AS bigint) AS rank
   FROM (SELECT batch_id, product_id, product_name,
-               cast(sum(cast(total_revenue AS decimal(18,2))) AS double) AS total_revenue,
+               cast(sum(cast(cast(total_revenue AS varchar) AS decimal(28,10))) AS double) AS total_revenue,
                cast(sum(units_sold) AS bigint) AS units_sold
         FROM sales_agg GROUP BY batch_id, product_id, product_name)
 )"""

@@ -6,23 +6,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Money is carried as an exact decimal while summing, so results do not depend
-# on the order rows arrive in, and returned as double like the source data.
-PRICE = "decimal(12,2)"
-LINE_AMOUNT = "decimal(18,2)"
+# on the order rows arrive in, and returned as double like the source data. Ten
+# decimals hold a price's own scale; nothing is rounded to cents.
+PRICE = "decimal(24,10)"
+AMOUNT = "decimal(28,10)"
 
 
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def line_revenue(qty: str | Column, price: str | Column) -> Column:
-    """quantity x unit price as an exact decimal."""
-    return (col(qty) * col(price).cast(PRICE)).cast(LINE_AMOUNT)
+def _exact_sum(exact: Column, plain: Column) -> Column:
+    """Sum of ``exact`` as double; of ``plain`` if some value or the sum has no such decimal."""
+    fits = F.count_if(exact.isNull() & plain.isNotNull()) == 0
+    return F.coalesce(F.when(fits, F.try_sum(exact).cast("double")), F.sum(plain))
+
+
+def revenue_sum(qty: str | Column, price: str | Column) -> Column:
+    """Sum of quantity x unit price, exact where every price has a decimal form (not 2e20, not infinity)."""
+    return _exact_sum(col(qty) * col(price).try_cast(PRICE), col(qty) * col(price).cast("double"))
 
 
 def money_sum(c: str | Column) -> Column:
     """Sum of a money column (double or decimal) computed in decimal, returned as double."""
-    return F.sum(col(c).cast(LINE_AMOUNT)).cast("double")
+    return _exact_sum(col(c).try_cast(AMOUNT), col(c).cast("double"))
 
 
 def money_sum_or_zero(c: str | Column) -> Column:
@@ -44,11 +51,6 @@ def parse_timestamp(c: str | Column, fmt: str | None = None) -> Column:
     return F.try_to_timestamp(col(c), F.lit(fmt)).cast("timestamp_ntz")
 
 
-def parse_event_time(c: str | Column) -> Column:
-    """ISO text to an instant (session zone), as event-time watermarks require."""
-    return F.try_to_timestamp(col(c))
-
-
 def parse_date(c: str | Column) -> Column:
     """ISO text (or a date/timestamp) to date; bad text gives null."""
     return col(c).try_cast("date")

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import iso_timestamp, padded_id, parse_timestamp
-from ..plans.joins import join_small
 from ..plans.ranking import distributed_rank
 
 # Fixed values of the feed format.
@@ -49,10 +48,9 @@ def product_count(clean: DataFrame) -> DataFrame:
 def feed_chunks(clean: DataFrame, catalog: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
     """T7 + T8 + N2: POS records in date order (row id breaks ties), chunk ids from 1.
 
-    The catalog grows with the data, so it is broadcast only after its row
-    count is checked; otherwise the planner shuffles both sides on the name.
+    The catalog grows with the data: how to join it is left to the planner and AQE.
     """
-    joined = join_small(clean, catalog, "product_name", "inner")
+    joined = clean.join(catalog, "product_name")
     positioned = distributed_rank(joined, [("order_date", False), ("row_id", False)],
                                   method="row_number", out="_pos")
     store = F.col("region").cast("string") if "region" in clean.columns else F.lit(UNKNOWN_STORE)

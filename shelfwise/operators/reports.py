@@ -182,12 +182,18 @@ def latest_delays(delay_alerts: DataFrame) -> DataFrame:
             .orderBy(F.col("delay_days").desc(), F.col("po_id")))
 
 
+def _chunks(listing: DataFrame) -> DataFrame:
+    """(chunk, bytes) of a written feed: a chunk is the number of its folder, whatever files hold it."""
+    chunk = F.regexp_extract("path", r"/feed_batch=([0-9]+)/", 1).cast("bigint").alias("chunk")
+    return listing.select(chunk, "length").groupBy("chunk").agg(F.sum("length").alias("bytes"))
+
+
 def feed_files(listing: DataFrame, shown: int = FEED_FILES_SHOWN) -> DataFrame:
-    """S7 + O4: the newest ``shown`` feed files by name, oldest first, size in KB."""
-    name = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
-    files = listing.select(name.alias("file_name"), F.round(F.col("length") / 1024.0, 2).alias("size_kb"))
-    return files.orderBy(F.col("file_name").desc()).limit(shown).orderBy("file_name")
+    """S7 + O4: the newest ``shown`` feed chunks by number, oldest first, size in KB."""
+    newest = _chunks(listing).orderBy(F.col("chunk").desc()).limit(shown).orderBy("chunk")
+    return newest.select(F.format_string("feed_batch=%d", "chunk").alias("file_name"),
+                         F.round(F.col("bytes") / 1024.0, 2).alias("size_kb"))
 
 
 def feed_file_count(listing: DataFrame) -> DataFrame:
-    return listing.agg(F.count(F.lit(1)).alias("file_count"))
+    return _chunks(listing).agg(F.count(F.lit(1)).alias("file_count"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.columns import line_revenue, long_sum, money_sum
+from ..functions.columns import long_sum, money_sum, revenue_sum
 from ..plans.ranking import distributed_rank
 
 BATCH = "batch_id"
@@ -35,7 +35,7 @@ def sales_aggregation(pos_clean: DataFrame) -> DataFrame:
     return (
         pos_clean.groupBy(*keys)
         .agg(long_sum("quantity_sold").alias("units_sold"),
-             F.sum(line_revenue("quantity_sold", "unit_price")).cast("double").alias("total_revenue"),
+             revenue_sum("quantity_sold", "unit_price").alias("total_revenue"),
              F.count("txn_id").alias("txn_count"))
     )
 

@@ -13,8 +13,7 @@ hold a third of all rows, sorts everything in one task. Here:
 4. A summary of (partition, group) -> row count, first and last order value
    (at most partitions + groups rows) gives each range its offset inside its
    group, and resolves runs of equal values that straddle range boundaries.
-5. The summary joins back; it is broadcast from a copy taken behind a row cap,
-   and joined as a distributed table when it is larger.
+5. The summary joins back, as the planner and AQE choose.
 
 ``method="rank"`` gives SQL ``RANK()`` (ties share the smallest position, gaps
 follow); ``method="row_number"`` gives ``ROW_NUMBER()`` over the full order.
@@ -33,10 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import checkpoint_dir
-from .joins import join_small
 
 _PID, _LIDX, _LSTART = "_rk_pid", "_rk_lidx", "_rk_lstart"
-SUMMARY_MAX_ROWS = 100_000
 
 # The per-partition numbering runs in Python workers; ship this module's code
 # with the task so executors need not have the package installed.
@@ -122,10 +119,7 @@ def distributed_rank(df: DataFrame, order: Sequence[tuple[str, bool]],
     spark = df.sparkSession
     checkpoint_dir(spark)
     sort = _sort_exprs(group, order, tiebreak)
-    # Ranges: the session's shuffle width, at most four per core of the cluster
-    # (each range costs a Python task and a checkpoint file).
-    n = partitions or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                                 4 * spark.sparkContext.defaultParallelism))
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     by_range = df.repartitionByRange(n, *sort)
 
     ranged = (
@@ -172,14 +166,7 @@ def distributed_rank(df: DataFrame, order: Sequence[tuple[str, bool]],
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(f"_s_{k}"))
         cond = c if cond is None else cond & c
-    # The summary is range metadata (at most ranges + groups rows), like the
-    # bounds a range partitioner gathers: taken once, with a cap, and broadcast
-    # from that copy; beyond the cap it stays a distributed join.
-    rows = summary.limit(SUMMARY_MAX_ROWS + 1).collect()
-    if len(rows) <= SUMMARY_MAX_ROWS:
-        joined = numbered.join(F.broadcast(spark.createDataFrame(rows, summary.schema)), cond, "inner")
-    else:
-        joined = join_small(numbered, summary, cond, "inner", small=False)
+    joined = numbered.join(summary, cond, "inner")
     off = F.col("_s__off")
     if method == "row_number":
         value = off + F.col(_LIDX) + 1
@@ -189,10 +176,4 @@ def distributed_rank(df: DataFrame, order: Sequence[tuple[str, bool]],
     return joined.select(*df.columns, value.cast("bigint").alias(out))
 
 
-def dense_ids(df: DataFrame, order: Sequence[tuple[str, bool]], out: str,
-              tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Global 1..N positions by a total order, distributed (see module doc)."""
-    return distributed_rank(df, order, (), tiebreak, method="row_number", out=out)
-
-
-__all__ = ["distributed_rank", "dense_ids"]
+__all__ = ["distributed_rank"]

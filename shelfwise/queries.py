@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .checks import oracle as O
 from .operators import clean as C
@@ -211,7 +212,7 @@ def q_supplier_delay_alerts(spark, d):
 SELECT product_id, product_name, total_revenue, units_sold,
        cast(rank() OVER (ORDER BY total_revenue DESC) AS bigint) AS rank
 FROM (SELECT product_id, product_name,
-             cast(sum(cast(total_revenue AS decimal(18,2))) AS double) AS total_revenue,
+             cast(sum(cast(cast(total_revenue AS varchar) AS decimal(28,10))) AS double) AS total_revenue,
              cast(sum(units_sold) AS bigint) AS units_sold
       FROM sales_agg GROUP BY product_id, product_name)""", "sales_agg"))
 def q_product_ranking_global(spark, d):
@@ -247,7 +248,7 @@ SEARCH_SQL = ("(regexp_matches(coalesce(product_name, ''), '{p}', 'i') AND produ
 
 
 @register("kpi_totals", O.with_ctes(f"""
-SELECT coalesce(cast(sum(cast(total_revenue AS decimal(18,2))) AS double), 0.0) AS total_revenue,
+SELECT coalesce(cast(sum(cast(cast(total_revenue AS varchar) AS decimal(28,10))) AS double), 0.0) AS total_revenue,
        cast(coalesce(sum(units_sold), 0) AS bigint) AS total_units,
        cast(coalesce(sum(txn_count), 0) AS bigint) AS total_txns
 FROM sales_agg WHERE store_id = '{STORE}'""", "sales_agg"))
@@ -304,7 +305,7 @@ def q_store_list(spark, d):
 # ---- O1, O2, T4 ----------------------------------------------------------------
 
 @register("top_products", O.with_ctes(f"""
-SELECT product_name, cast(sum(cast(total_revenue AS decimal(18,2))) AS double) AS total_revenue
+SELECT product_name, cast(sum(cast(cast(total_revenue AS varchar) AS decimal(28,10))) AS double) AS total_revenue
 FROM sales_agg WHERE store_id = '{STORE}' AND product_name IS NOT NULL
 GROUP BY product_name ORDER BY total_revenue DESC, product_name ASC LIMIT 15""", "sales_agg"))
 def q_top_products(spark, d):
@@ -329,14 +330,14 @@ def q_critical_items(spark, d):
 # ---- G8-G11 --------------------------------------------------------------------
 
 @register("revenue_by_store", O.with_ctes("""
-SELECT store_id, cast(sum(cast(total_revenue AS decimal(18,2))) AS double) AS total_revenue
+SELECT store_id, cast(sum(cast(cast(total_revenue AS varchar) AS decimal(28,10))) AS double) AS total_revenue
 FROM sales_agg WHERE store_id IS NOT NULL GROUP BY store_id""", "sales_agg"))
 def q_revenue_by_store(spark, d):
     return R.revenue_by_store(sales_agg(spark, d))
 
 
 @register("batch_trend", O.with_ctes("""
-SELECT batch_id, cast(sum(cast(total_revenue AS decimal(18,2))) AS double) AS total_revenue,
+SELECT batch_id, cast(sum(cast(cast(total_revenue AS varchar) AS decimal(28,10))) AS double) AS total_revenue,
        cast(sum(units_sold) AS bigint) AS units_sold, cast(sum(txn_count) AS bigint) AS txn_count
 FROM sales_agg GROUP BY batch_id""", "sales_agg"))
 def q_batch_trend(spark, d):
@@ -345,7 +346,7 @@ def q_batch_trend(spark, d):
 
 @register("batch_summary", O.with_ctes("""
 SELECT batch_id, cast(sum(txn_count) AS bigint) AS records_processed,
-       cast(sum(cast(total_revenue AS decimal(18,2))) AS double) AS total_batch_revenue
+       cast(sum(cast(cast(total_revenue AS varchar) AS decimal(28,10))) AS double) AS total_batch_revenue
 FROM sales_agg GROUP BY batch_id""", "sales_agg"))
 def q_batch_summary(spark, d):
     return R.batch_summary(sales_agg(spark, d))
@@ -478,7 +479,7 @@ def q_stream_replay(spark, d):
     ST.stage_pos_feed(spark, V.pos(spark, d), feed, STREAM_FILES)
     wh, sup = _loaders(spark, d)
     P.run_stream(spark, feed, out, ckpt, wh, sup)
-    P.forget_last_commit(spark, ckpt)
+    ST.forget_last_commit(spark, ckpt)
     P.run_stream(spark, feed, out, ckpt, wh, sup)
     return _read_result(spark, out, "sales_aggregation").select(*sales_agg(spark, d).columns)
 
@@ -493,6 +494,24 @@ def q_stream_dedup(spark, d):
     return spark.read.parquet(f"{root}/kept").select("batch_id", "txn_id")
 
 
+@register("stream_split_batch", O.with_ctes("""
+SELECT batch_id, product_id, product_name, store_id, cast(sum(quantity_sold) AS bigint) AS units_sold,
+       cast(sum(quantity_sold * cast(cast(unit_price AS varchar) AS decimal(24,10))) AS double) AS total_revenue,
+       cast(count(txn_id) AS bigint) AS txn_count
+FROM (SELECT *, cast(split_part(txn_id, '-', 2) AS bigint) % 2 AS part FROM pos_clean)
+GROUP BY part, batch_id, product_id, product_name, store_id""", "pos_clean"))
+def q_stream_split_batch(spark, d):
+    """K4 + H1: every month comes in two loads; the table keeps the results of both."""
+    root, feed, out, ckpt = _stream_setup(spark, d, "stream-split")
+    wh, sup = _loaders(spark, d)
+    pos = V.pos(spark, d).withColumn("_part", F.split("txn_id", "-")[1].cast("bigint") % 2)
+    for part in (0, 1):
+        ST.stage_pos_feed(spark, pos.where(F.col("_part") == part).drop("_part"), feed, 1,
+                          start_ms=1_600_000_000_000 + part * 10**11)
+    P.run_stream(spark, feed, out, ckpt, wh, sup)
+    return _read_result(spark, out, "sales_aggregation").select(*sales_agg(spark, d).columns)
+
+
 # ---- K1, K2, S6, S7 --------------------------------------------------------------
 
 @register("load_result", ORACLE["sales_aggregation"])
@@ -528,11 +547,77 @@ def q_feed_file_count(spark, d):
     return R.feed_file_count(S.file_listing(spark, f"{root}/pos_sales"))
 
 
-@register("feed_files")
+@register("feed_files", _raw(
+    "SELECT concat('feed_batch=', cast(n AS varchar)) AS file_name "
+    "FROM (SELECT DISTINCT (rn - 1) // 700 + 1 AS n FROM (SELECT row_number() OVER (ORDER BY r.order_date, r.row_id) AS rn "
+    "FROM raw_clean r JOIN catalog c USING (product_name)) ORDER BY n DESC LIMIT 10)"))
 def q_feed_files(spark, d):
     """S7 + O4 + K5: the prepared feed written as chunk folders, newest 10 files listed."""
     root = work_dir(spark, "feed-files")
     clean = raw_clean(spark, d)
     chunks = FD.feed_chunks(clean, FD.product_catalog(clean))
     FD.write_feed(chunks, f"{root}/pos_sales")
-    return R.feed_files(S.file_listing(spark, f"{root}/pos_sales"))
+    return R.feed_files(S.file_listing(spark, f"{root}/pos_sales")).select("file_name")
+
+
+@register("feed_content", ORACLE["feed_chunks"])
+def q_feed_content(spark, d):
+    """K5 + S4: the written feed, read back as one batch."""
+    folder = f"{work_dir(spark, 'feed-content')}/pos_sales"
+    clean = raw_clean(spark, d)
+    chunks = FD.feed_chunks(clean, FD.product_catalog(clean))
+    FD.write_feed(chunks, folder)
+    return S.pos_batch(spark, folder, chunks.schema).select(*chunks.columns)
+
+
+# ---- S2-S5, S8: files of every kind, written from the views and read back ---------
+
+@register("warehouse_csv_scan", O.with_ctes("SELECT * FROM warehouse", "warehouse"))
+def q_warehouse_csv_scan(spark, d):
+    """Columns in another order and one too many, found by name."""
+    folder = work_dir(spark, "warehouse-csv")
+    V.warehouse(spark, d).selectExpr("reorder_threshold", "'x' AS note", "warehouse_stock", "product_id") \
+        .write.option("header", True).csv(folder)
+    return S.warehouse_csv(spark, folder)
+
+
+@register("raw_sales_csv_scan", O.with_ctes("SELECT * REPLACE (concat(product_name, ' é') AS product_name) FROM raw_sales",
+                                            "raw_sales"))
+def q_raw_sales_csv_scan(spark, d):
+    """Latin-1 text, columns in another order and two too many."""
+    folder = work_dir(spark, "raw-csv")
+    back = {v: k for k, v in S.RAW_RENAMES.items()}
+    raw = V.raw_sales(spark, d).withColumn("product_name", F.concat("product_name", F.lit(" é")))
+    cols = [F.col(c).alias(back[c]) for c in reversed(raw.columns)]
+    raw.select(F.lit(0).alias("Discount"), *cols, F.lit("y").alias("Province")) \
+        .write.option("header", True).option("encoding", "ISO-8859-1").csv(folder)
+    return S.raw_sales_csv(spark, folder).select(*raw.columns)
+
+
+@register("supplier_json_scan", O.with_ctes(
+    "SELECT po_id, product_id, supplier_id, cast(expected_delivery_date AS varchar) AS expected_delivery_date, "
+    "cast(actual_delivery_date AS varchar) AS actual_delivery_date FROM supplier_po", "supplier_po"))
+def q_supplier_json_scan(spark, d):
+    """S3: supplier updates written as JSON and read as the feed's reader does."""
+    folder = work_dir(spark, "supplier-json")
+    po = V.supplier_po(spark, d)
+    # one array a file, over many lines: a file for each of 64 hash buckets
+    po.select(F.pmod(F.xxhash64("po_id"), F.lit(64)).alias("_b"), F.to_json(F.struct(*po.columns)).alias("j")) \
+        .groupBy("_b").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("j"), ",\n"), F.lit("\n]")).alias("value")) \
+        .write.partitionBy("_b").text(folder)
+    return S.supplier_json(spark, folder).select(*po.columns)
+
+
+@register("pos_json_scan", O.with_ctes("SELECT * FROM pos", "pos"))
+def q_pos_json_scan(spark, d):
+    """The POS feed written as JSON lines and read as one batch."""
+    folder = work_dir(spark, "pos-json")
+    pos = V.pos(spark, d)
+    pos.write.json(folder)
+    return S.pos_batch(spark, folder, pos.schema).select(*pos.columns)
+
+
+@register("catalog_ids", O.with_ctes("SELECT DISTINCT product_id FROM warehouse WHERE product_id IS NOT NULL", "warehouse"))
+def q_catalog_ids(spark, d):
+    """Product ids known to the warehouse."""
+    return S.catalog_ids(V.warehouse(spark, d))

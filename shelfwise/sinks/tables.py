@@ -1,10 +1,11 @@
 """Result-table and JDBC writers (K1-K3, H1).
 
-Result tables are parquet folders partitioned by ``batch_id``. A load replaces
-exactly the batch partitions present in the frame (dynamic partition
-overwrite): a replayed micro-batch rewrites its own partitions instead of
-appending a second copy, and every other batch is untouched. Files are staged
-and moved at job commit, so a failed attempt leaves no partial partition.
+Result tables are parquet folders partitioned by ``load_id``, then ``batch_id``.
+A streaming load owns the folder of its load id (the epoch) and replaces it as
+a whole, also when its result is empty: a replay rewrites or removes exactly
+what the first attempt wrote, and a batch that spans several loads keeps the
+rows of each. A load without an id goes to load 0 and replaces the batch
+partitions present in the frame (dynamic partition overwrite).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 
 BATCH = "batch_id"
+LOAD = "load_id"
 
 
 def stamp(df: DataFrame, batch_id: int | None = None) -> DataFrame:
@@ -24,11 +26,12 @@ def stamp(df: DataFrame, batch_id: int | None = None) -> DataFrame:
     return df.withColumn("loaded_at", F.current_timestamp())
 
 
-def load_result(df: DataFrame, base: str, name: str, batch_id: int | None = None) -> str:
+def load_result(df: DataFrame, base: str, name: str, batch_id: int | None = None,
+                load_id: int | None = None) -> str:
     """K1 + H1: write one result for one or more batches; returns the table path.
 
-    An empty frame writes nothing (X8): no partition appears for that batch,
-    so "latest batch" of the table keeps meaning "latest batch with rows".
+    An empty frame leaves no partition (X8), so "latest batch" of the table
+    keeps meaning "latest batch with rows".
     """
     path = f"{base.rstrip('/')}/{name}"
     out = stamp(df, batch_id)
@@ -38,20 +41,20 @@ def load_result(df: DataFrame, base: str, name: str, batch_id: int | None = None
     # and the second range key splits a batch holding most rows over tasks.
     spread_by = [c for c in cols if c not in (BATCH, "loaded_at")][:1]
     (out.select(*cols).repartitionByRange(BATCH, *spread_by).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH).parquet(path))
+        .option("partitionOverwriteMode", "dynamic" if load_id is None else "static")
+        .partitionBy(BATCH).parquet(f"{path}/{LOAD}={load_id or 0}"))
     return path
 
 
 def create_result_tables(spark: SparkSession, base: str, database: str | None = None) -> list[str]:
-    """K2: register the five result tables (parquet, partitioned by batch_id) if absent."""
+    """K2: register the five result tables (parquet, partitioned by load_id, batch_id) if absent."""
     created = []
     for name, schema in schemas.RESULT_TABLES.items():
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.stored(schema).fields)
         qualified = f"{database}.{name}" if database else name
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {qualified} ({cols}) USING parquet "
-            f"PARTITIONED BY ({BATCH}) LOCATION '{base.rstrip('/')}/{name}'"
+            f"CREATE TABLE IF NOT EXISTS {qualified} ({cols}, `{LOAD}` int) USING parquet "
+            f"PARTITIONED BY ({LOAD}, {BATCH}) LOCATION '{base.rstrip('/')}/{name}'"
         )
         created.append(qualified)
     return created

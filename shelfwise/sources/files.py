@@ -35,9 +35,25 @@ def pos_batch(spark: SparkSession, paths: str | list[str], schema=schemas.POS) -
     return spark.read.schema(schema).json(paths)
 
 
+def _csv_by_name(spark: SparkSession, path: str, schema, encoding: str = "UTF-8") -> DataFrame:
+    """The columns of ``schema`` from CSV files, found by header name; others are ignored.
+
+    Only the header is read up front. A cell that isn't of the wanted type
+    becomes null. A missing column is an error, and so is a file whose header
+    differs from the first one's.
+    """
+    options = {"header": True, "encoding": encoding, "enforceSchema": False}
+    header = spark.read.options(**options).csv(path).schema
+    missing = [f.name for f in schema if f.name not in header.fieldNames()]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header {header.fieldNames()}")
+    df = spark.read.options(**options).schema(header).csv(path)
+    return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
+
+
 def warehouse_csv(spark: SparkSession, path: str) -> DataFrame:
     """Warehouse snapshot CSV with header; empty cells read as null."""
-    return spark.read.option("header", True).schema(schemas.WAREHOUSE).csv(path)
+    return _csv_by_name(spark, path, schemas.WAREHOUSE)
 
 
 def supplier_json(spark: SparkSession, path: str) -> DataFrame:
@@ -47,8 +63,7 @@ def supplier_json(spark: SparkSession, path: str) -> DataFrame:
 
 def raw_sales_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
     """Raw sales export (latin-1, header names with spaces) with snake-case names."""
-    df = (spark.read.option("header", True).option("encoding", encoding)
-          .schema(schemas.RAW_SALES_CSV).csv(path))
+    df = _csv_by_name(spark, path, schemas.RAW_SALES_CSV, encoding)
     return df.select(*[F.col(f"`{k}`").alias(v) for k, v in RAW_RENAMES.items()])
 
 
@@ -76,5 +91,5 @@ def file_listing(spark: SparkSession, path: str, glob: str = "*.json") -> DataFr
 
 
 def catalog_ids(warehouse: DataFrame) -> DataFrame:
-    """Product ids known to the warehouse."""
-    return warehouse.select("product_id")
+    """Distinct product ids known to the warehouse."""
+    return warehouse.select("product_id").where("product_id is not null").distinct()

@@ -12,8 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import iso_date, iso_timestamp, padded_id
-from ..plans.joins import fits_broadcast_all, join_small
-from ..plans.partitioning import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events "
@@ -28,29 +26,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def pos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """POS sales, feed schema plus the business ``batch_id`` (order month)."""
     t = lambda n: table(spark, sf_dir, n)
-    lines = spread(t("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity"))
+    lines = t("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     orders = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
     customer = t("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     nation = t("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     region = t("region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     part = t("part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_retailprice")
-    # Only base tables are broadcast, each after its row count is checked
-    # (counted concurrently). Small dimensions: star join onto lineitem, all
-    # broadcast. Large ones: customer x nation x region joins orders first,
-    # so lineitem is shuffled once for orders and once for part, and the
-    # planner / AQE pick the strategy from measured sizes.
-    small = fits_broadcast_all({"orders": orders, "customer": customer, "nation": nation,
-                                "region": region, "part": part})
-    if small["orders"]:
-        fact = join_small(lines, orders, "l_orderkey", small=True)
-        fact = join_small(fact, customer, "o_custkey", small=small["customer"])
-        fact = join_small(fact, nation, "c_nationkey", small=small["nation"])
-        fact = join_small(fact, region, "n_regionkey", small=small["region"])
-    else:
-        store = join_small(join_small(customer, nation, "c_nationkey", small=small["nation"]),
-                           region, "n_regionkey", small=small["region"])
-        fact = lines.join(orders.join(store, "o_custkey"), "l_orderkey")
-    joined = join_small(fact, part, "l_partkey", small=small["part"])
+    # customer x nation x region joins orders first, so lineitem is shuffled at
+    # most once for orders and once for part; the planner and AQE choose how by size
+    stores = customer.join(nation, "c_nationkey").join(region, "n_regionkey")
+    joined = lines.join(orders.join(stores, "o_custkey"), "l_orderkey").join(part, "l_partkey")
     k = F.col("l_orderkey")
     qty = F.col("l_quantity").cast("int")
     return joined.select(
@@ -86,7 +71,7 @@ def supplier_po(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("l_orderkey")
     ship = F.col("l_shipdate").cast("date")
     lag = ((k * 7 + F.col("l_linenumber") * 3 + F.col("l_suppkey")) % 9).cast("int")
-    return spread(table(spark, sf_dir, "lineitem")).select(
+    return table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("PO-"), k.cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("po_id"),
         padded_id("P", "l_partkey").alias("product_id"),
@@ -100,7 +85,7 @@ def supplier_po(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw retail sales export (snake-case names) built from ``events``."""
     e = F.col("event_id")
-    return spread(table(spark, sf_dir, "events")).select(
+    return table(spark, sf_dir, "events").select(
         e.alias("row_id"),
         F.concat(F.col("event_type"), F.lit("-"), F.col("user_id").cast("string")).alias("product_name"),
         F.col("event_type").alias("region"),

@@ -9,9 +9,9 @@ partitions instead of adding rows.
 
 Batch identity: when the records carry ``batch_id`` that value is used, so
 results can be matched to the feed whatever order files arrive in (X9);
-otherwise the micro-batch (epoch) id is, as in a plain file feed. A business
-batch must then sit whole in one micro-batch: keep each batch in one file, or
-one file per batch folder.
+otherwise the micro-batch (epoch) id is, as in a plain file feed. A batch may
+come in several files: each micro-batch adds its own results for it, under its
+own load id, as the plain appending loader does.
 """
 
 from __future__ import annotations
@@ -19,11 +19,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.columns import parse_event_time
 from ..operators import clean as C
 from ..operators import transforms as T
 from ..sinks.tables import load_result
@@ -113,7 +113,7 @@ class ReferenceCache:
 
 
 class BatchLoader:
-    """The ``foreachBatch`` function: clean once, five results, replace partitions."""
+    """The ``foreachBatch`` function: clean once, five results, replace this load's folders."""
 
     def __init__(self, out_dir: str, warehouse: Loader, supplier: Loader):
         self.out_dir = out_dir
@@ -146,10 +146,12 @@ class BatchLoader:
                                    lambda df: T.supplier_delay_detection(C.clean_supplier(df)))
             results = batch_results(raw, wh, alerts, keep)
             # The five loads are independent jobs: submit them together so a
-            # small micro-batch keeps every core busy.
+            # small micro-batch keeps every core busy; they inherit the query's
+            # job group, so stopping it cancels them.
+            load = inheritable_thread_target(batch_df.sparkSession)(
+                lambda n: load_result(results[n](), self.out_dir, n, load_id=epoch_id))
             with ThreadPoolExecutor(max_workers=len(RESULT_NAMES)) as pool:
-                done = [pool.submit(lambda n: load_result(results[n](), self.out_dir, n), name)
-                        for name in RESULT_NAMES]
+                done = [pool.submit(load, name) for name in RESULT_NAMES]
                 for f in done:
                     f.result()
             self.last_metrics = {"epoch": epoch_id, **obs.get}
@@ -189,37 +191,20 @@ def run_stream(spark: SparkSession, pos_dir: str, out_dir: str, checkpoint: str,
 
 
 def dedup_stream(spark: SparkSession, pos_dir: str, out_dir: str, checkpoint: str,
-                 delay: str = "31 days", files_per_trigger: int | None = 1) -> None:
+                 files_per_trigger: int | None = 1) -> None:
     """H3: drop a transaction resent in a later file, across micro-batches.
 
     Null and invalid rows are removed first (as C1/C2 do), so a dirty copy can
-    never shadow a good one; the dedup state per txn_id is kept until the
-    event-time watermark passes it by ``delay``. Kept rows go to a parquet
-    file sink (exactly-once through its commit log).
+    never shadow a good one. There is no watermark: every id seen stays in the
+    state, so files may come in any order and no row is lost for being late.
+    With many ids, set the RocksDB state store, which keeps the state on disk.
+    Kept rows go to a parquet file sink (exactly-once through its commit log).
     """
     stream = pos_stream(spark, pos_dir, files_per_trigger, schemas.POS_BATCHED)
-    kept = (C.pos_valid(C.pos_drop_nulls(stream))
-            .withColumn("event_time", parse_event_time("txn_timestamp"))
-            .withWatermark("event_time", delay)
-            .dropDuplicatesWithinWatermark(["txn_id"]))
+    kept = C.pos_valid(C.pos_drop_nulls(stream)).dropDuplicates(["txn_id"])
     q = (kept.writeStream.format("parquet").option("path", out_dir)
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-
-
-def forget_last_commit(spark: SparkSession, checkpoint: str) -> int | None:
-    """Remove the newest commit marker of a stream checkpoint, as a crash right
-    before the commit would leave it; the next run replays that micro-batch."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    commits = jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/commits")
-    fs = commits.getFileSystem(conf)
-    ids = [int(s.getPath().getName()) for s in fs.listStatus(commits) if s.getPath().getName().isdigit()]
-    if not ids:
-        return None
-    last = max(ids)
-    fs.delete(jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/commits/{last}"), False)
-    return last

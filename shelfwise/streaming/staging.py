@@ -26,16 +26,6 @@ def list_files(spark: SparkSession, folder: str, suffix: str = ".json") -> list[
     return sorted(n for n in names if n.endswith(suffix))
 
 
-def order_mtimes(spark: SparkSession, folder: str, start_ms: int = 1_600_000_000_000,
-                 step_ms: int = 10_000) -> list[str]:
-    """Give the folder's feed files increasing modification times in name order."""
-    files = list_files(spark, folder)
-    jvm, _, fs = _fs(spark, folder)
-    for i, f in enumerate(files):
-        fs.setTimes(jvm.org.apache.hadoop.fs.Path(f), start_ms + i * step_ms, -1)
-    return files
-
-
 def stage_pos_feed(spark: SparkSession, pos: DataFrame, folder: str, files: int = 6,
                    start_ms: int = 1_600_000_000_000) -> list[str]:
     """Write ``pos`` as about ``files`` JSON-lines files of whole, ordered batches.
@@ -55,3 +45,15 @@ def stage_pos_feed(spark: SparkSession, pos: DataFrame, folder: str, files: int
         fs.setTimes(target, start_ms + i * 10_000, -1)
         moved.append(target.toString())
     return moved
+
+
+def forget_last_commit(spark: SparkSession, checkpoint: str) -> int | None:
+    """Remove the newest commit marker of a stream checkpoint, as a crash right
+    before the commit would leave it; the next run replays that micro-batch."""
+    jvm, commits, fs = _fs(spark, f"{checkpoint.rstrip('/')}/commits")
+    ids = [int(s.getPath().getName()) for s in fs.listStatus(commits) if s.getPath().getName().isdigit()]
+    if not ids:
+        return None
+    last = max(ids)
+    fs.delete(jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/commits/{last}"), False)
+    return last

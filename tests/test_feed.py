@@ -53,3 +53,32 @@ def test_latin1_csv_and_feed_listing(spark, tmp_dir):
     from shelfwise.operators.reports import feed_files
     listed = feed_files(file_listing(spark, out)).collect()
     assert len(listed) == 1 and listed[0].size_kb > 0
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_dir):
+    import pytest
+
+    from shelfwise.sources.files import raw_sales_csv, warehouse_csv
+    w = os.path.join(tmp_dir, "w.csv")
+    with open(w, "w") as f:
+        f.write("note,reorder_threshold,product_id,warehouse_stock\nx,15,P1,300\ny,,P2,many\n")
+    assert [tuple(r) for r in warehouse_csv(spark, w).collect()] == [("P1", 300, 15), ("P2", None, None)]
+    r = os.path.join(tmp_dir, "r.csv")
+    with open(r, "w", encoding="latin-1") as f:
+        f.write("Region,Order ID,Order Date,Row ID,Unit Price,Product Name,Order Quantity\n"
+                "West,9,2010-10-13,1,1.5,Caf\u00e9,3\n")
+    got = raw_sales_csv(spark, r).first()
+    assert (got.row_id, got.product_name, got.region, got.order_quantity, got.unit_price) == (1, "Caf\u00e9", "West", 3, 1.5)
+    with open(w, "w") as f:
+        f.write("product_id,stock\nP1,3\n")
+    with pytest.raises(ValueError, match="warehouse_stock"):
+        warehouse_csv(spark, w)
+
+
+def test_newest_chunks_by_number(spark):
+    from shelfwise.operators.reports import feed_file_count, feed_files
+    listing = spark.createDataFrame([(f"file:/f/feed_batch={n}/part-{k}.json", 1024) for n in range(1, 10012) for k in (0, 1)
+                                     if n < 5 or n > 9990], "path string, length bigint")
+    assert [(r.file_name, r.size_kb) for r in feed_files(listing).collect()] == [
+        (f"feed_batch={n}", 2.0) for n in range(10002, 10012)]
+    assert feed_file_count(listing).first().file_count == 25

@@ -9,6 +9,7 @@ from shelfwise import schemas
 from shelfwise.operators import clean as C
 from shelfwise.operators.reports import latest_ranking
 from shelfwise.plans.dedup import expand_counts, split_first
+from shelfwise.queries import QUERIES
 from shelfwise.sinks.tables import load_result
 from shelfwise.sources.files import result_table
 
@@ -20,7 +21,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - STREAMING - {"feed_files", "load_result",
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMING - {"feed_files", "load_result",
                                                                            "result_scan"}))
 def test_no_row_python_udf(spark, name):
     plan = _plan(entry.queries()[name](spark, SF_SMALL))
@@ -82,9 +83,11 @@ def test_inventory_batches_without_cross_join(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_only_base_tables_broadcast(spark):
-    plan = _plan(entry.queries()["pos_view"](spark, SF_SMALL))
-    # lineitem is the streamed side of every join; it never feeds a broadcast
-    for block in plan.split("BroadcastExchange")[1:]:
-        head = block.split("BroadcastHashJoin")[0]
-        assert "lineitem.parquet" not in head
+def test_no_forced_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("pos_view", "feed_chunks", "inventory_status"):
+            assert "BroadcastHashJoin" not in _plan(entry.queries()[name](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -1,5 +1,7 @@
 """Business transformations on hand-made rows."""
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from shelfwise import schemas
@@ -83,3 +85,12 @@ def test_cumulative_stock(spark):
         "batch_id int, product_id string, warehouse_stock int, reorder_threshold int, units_sold_batch bigint")
     got = [r.cumulative_stock for r in T.inventory_cumulative(inv).orderBy("batch_id").collect()]
     assert got == [90, 85, 85]
+
+
+@pytest.mark.parametrize("qty, price, want", [(1000, 0.004, 4.0), (1000, 1.005, 1005.0), (10, 1.999, 19.99),
+                                              (1, 2e10, 2e10), (2, 2e20, 4e20), (1, float("inf"), float("inf"))])
+def test_revenue_is_not_rounded_to_cents(spark, qty, price, want):
+    df = spark.createDataFrame([("t", "P1", "n", "S", qty, price, None)], schemas.POS)
+    sales = T.sales_aggregation(df)
+    assert sales.first().total_revenue == want
+    assert T.product_ranking(sales.withColumn("batch_id", F.lit(1))).first().total_revenue == want
