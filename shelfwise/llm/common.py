@@ -90,6 +90,19 @@ def min_label_components(nodes_edges: DataFrame, label: str = "components") -> D
                          f"{label}-labels")
 
 
+def joined_components(labels: DataFrame, more: DataFrame, label: str = "components") -> DataFrame:
+    """``labels`` (node, component) after further edges ``more`` (a, b), solved on the graph of components."""
+    ends = more.select("a", "b")
+    for side in ("a", "b"):
+        known = labels.select(F.col("node").alias(side), F.col("component").alias(f"_{side}"))
+        ends = ends.join(known, side, "left")
+    ends = ends.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    up = min_label_components(ends, label)
+    moved = labels.join(up.select(F.col("node").alias("component"), F.col("component").alias("_up")), "component", "left") \
+        .select("node", F.coalesce("_up", "component").alias("component"))
+    return scratch(moved.unionByName(up.join(labels, "node", "left_anti")), f"{label}-joined")
+
+
 def bit_filter(ids: DataFrame, column: str, bits: int = 26) -> DataFrame:
     """A one-hash Bloom filter of ``ids[column]`` (bigint) as rows (slot, bitmap).
 

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_filter, maybe_in, min_label_components, scratch
+from .common import bit_filter, joined_components, maybe_in, min_label_components, scratch
 
 WORDS = 5
 THRESHOLD = 75
@@ -237,7 +237,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = min_label_components(links, "odd")
     more = scratch(_rest_links(shared, classes, labels, plain, words, threshold), "odd-rest")
     if not more.isEmpty():
-        labels = min_label_components(links.unionByName(more), "odd")
+        labels = joined_components(labels, more, "odd")
     grouped = classes.select("cls", "id").join(labels.select(F.col("node").alias("cls"), "component"), "cls", "left") \
         .withColumn("component", F.coalesce("component", "cls"))
     smallest = grouped.groupBy("component").agg(F.min("id").alias("component_id"))
