@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 0x2581
 LONGEST = 16
-CODES_AT_ONCE = 3_000_000
+CODES_AT_ONCE = 5_000_000
+ROWS_AT_ONCE = 1500
 _LEADING_BITS = 20
 _REMEMBERED_BITS = 20
 _DENSE = 1024
@@ -357,8 +358,8 @@ def encode_texts(docs: DataFrame, model: str = MODEL, text_col: str = "text", ou
     def run(batches):
         encoder = Encoder(pieces)
         for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
+            for i in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(i, ROWS_AT_ONCE)
                 ids = encoder.encode([t.as_py() for t in part.column(at)])
                 yield part.append_column("_ids", pa.array(ids, pa.list_(pa.int32())))
 
@@ -398,8 +399,8 @@ def digests(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_co
         encoder = Encoder(pieces)
         byte_of = {int(t): b for b, t in enumerate(pieces.byte_ids)}
         for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
+            for i in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(i, ROWS_AT_ONCE)
                 ids = encoder.encode([t.as_py() for t in part.column(1)])
                 texts = [decode(x, pieces.pieces, byte_of) for x in ids]
                 yield pa.record_batch([
