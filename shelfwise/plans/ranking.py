@@ -1,179 +1,134 @@
 """Distributed rank / row position without a single-task window.
 
 ``Window.orderBy(...)`` with no partition, or partitioned by a key that may
-hold a third of all rows, sorts everything in one task. Here:
-
-1. ``repartitionByRange`` on (group, order, tie-break) spreads rows over many
-   tasks by value; ``sortWithinPartitions`` orders each range.
-2. One Arrow pass per partition (``mapInArrow``) numbers the rows of each
-   group inside the range and marks where each run of equal order values starts.
-   Only key columns are inspected; the other columns pass through untouched.
-3. The numbered frame is checkpointed to the shared checkpoint folder, so the
-   range boundaries and local numbers are fixed even if executors are lost.
-4. A summary of (partition, group) -> row count, first and last order value
-   (at most partitions + groups rows) gives each range its offset inside its
-   group, and resolves runs of equal values that straddle range boundaries.
-5. The summary joins back, as the planner and AQE choose.
-
+hold a third of all rows, sorts everything in one task. Here the sort order is
+cut into ranges, each numbered by an ordinary window, and the ranges' offsets
+are added:
+
+1. Bounds: of a sixty-fourth of the distinct keys, chosen by hash, one of each
+   hash bucket (``PER_RANGE`` buckets a range, so their number is bounded), sorted.
+   The bounds are a scalar subquery and depend on the rows' values alone:
+   whatever task computes a row again gives it the same range. They only decide
+   how even the ranges are, never the result.
+2. A row's range is the number of bounds that don't lie after it, by binary search.
+3. Rows are counted per (range, group); a running sum over at most one row per
+   range and group gives each range its offset inside its group.
+4. A window per (range, group) numbers the rows, so a hot group is spread over
+   many tasks.
+
+``method="row_number"`` gives ``ROW_NUMBER()`` over the full order;
 ``method="rank"`` gives SQL ``RANK()`` (ties share the smallest position, gaps
-follow); ``method="row_number"`` gives ``ROW_NUMBER()`` over the full order.
+follow). Rank first counts the rows of each (group, order) value, numbers
+those values with the counts as weights, and joins them back, so a tie of any
+length is one row where it is numbered. Everything is lazy and stays in the JVM.
 """
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
-
-from ..session import checkpoint_dir
-
-_PID, _LIDX, _LSTART = "_rk_pid", "_rk_lidx", "_rk_lstart"
-
-# The per-partition numbering runs in Python workers; ship this module's code
-# with the task so executors need not have the package installed.
-try:
-    from pyspark import cloudpickle as _cloudpickle
-
-    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
-except Exception:  # pragma: no cover - older cloudpickle: rely on installation
-    pass
-
-
-def _sort_exprs(group: Sequence[str], order: Sequence[tuple[str, bool]],
-                tiebreak: Sequence[str]) -> list[Column]:
-    exprs = [F.col(g).asc() for g in group]
-    exprs += [F.col(c).desc() if desc else F.col(c).asc() for c, desc in order]
-    exprs += [F.col(t).asc() for t in tiebreak]
-    return exprs
-
-
-def _changed(arr: pa.Array, carry) -> np.ndarray:
-    """Per row: differs from the previous row (null-safe); row 0 vs ``carry``."""
-    m = len(arr)
-    if m == 0:
-        return np.zeros(0, dtype=bool)
-    prev = pa.concat_arrays([pa.array([carry], type=arr.type), arr.slice(0, m - 1)])
-    neq = pc.fill_null(pc.not_equal(arr, prev), False)
-    one_null = pc.xor(pc.is_null(arr), pc.is_null(prev))
-    return np.asarray(pc.or_(neq, one_null).to_numpy(zero_copy_only=False), dtype=bool)
-
-
-def _local_numbering(group: list[str], order: list[str]):
-    """Arrow batch function: add within-range row index and tie-run start per group."""
-
-    def run(batches):
-        carry = None  # (group values, order values, last index, last run start)
-        for batch in batches:
-            m = batch.num_rows
-            if m == 0:
-                continue
-            new_group = np.zeros(m, dtype=bool)
-            for i, g in enumerate(group):
-                new_group |= _changed(batch.column(g), None if carry is None else carry[0][i])
-            new_run = new_group.copy()
-            for i, c in enumerate(order):
-                new_run |= _changed(batch.column(c), None if carry is None else carry[1][i])
-            if carry is None:
-                new_group[0] = True
-                new_run[0] = True
-            pos = np.arange(m, dtype=np.int64)
-            g_start = np.maximum.accumulate(np.where(new_group, pos, -1))
-            lidx = np.where(g_start >= 0, pos - g_start, (0 if carry is None else carry[2] + 1) + pos)
-            r_start = np.maximum.accumulate(np.where(new_run, pos, -1))
-            lstart = np.where(r_start >= 0, lidx[np.maximum(r_start, 0)],
-                              0 if carry is None else carry[3])
-            last = m - 1
-            carry = (
-                [batch.column(g)[last].as_py() for g in group],
-                [batch.column(c)[last].as_py() for c in order],
-                int(lidx[last]),
-                int(lstart[last]),
-            )
-            yield (batch.append_column(_LIDX, pa.array(lidx, type=pa.int64()))
-                        .append_column(_LSTART, pa.array(lstart, type=pa.int64())))
-
-    return run
-
-
-def distributed_rank(df: DataFrame, order: Sequence[tuple[str, bool]],
-                     group: Sequence[str] = (), tiebreak: Sequence[str] = (),
-                     method: str = "rank", out: str = "rank",
-                     partitions: int | None = None) -> DataFrame:
+
+PER_RANGE = 16
+_RANGE, _BOUNDS, _BEFORE, _OFFSET, _WEIGHT = "_rk_range", "_rk_bounds", "_rk_before", "_rk_offset", "_rk_weight"
+
+Order = Sequence[tuple[str, bool]]
+
+
+def _sooner(a: Column, b: Column, order: Order) -> Column:
+    """``a`` sorts before ``b``: structs with fields k0, k1, ... as in ``order`` (column, descending).
+
+    A struct of one field compares nulls first, which is Spark's place for
+    them in ascending order, and its reverse is that of descending order.
+    """
+    result = F.lit(False)
+    for i in reversed(range(len(order))):
+        x, y = a[f"k{i}"], b[f"k{i}"]
+        first = F.struct(y) < F.struct(x) if order[i][1] else F.struct(x) < F.struct(y)
+        result = first | (x.eqNullSafe(y) & result)
+    return result
+
+
+def _key(order: Order) -> Column:
+    return F.struct(*[F.col(c).alias(f"k{i}") for i, (c, _) in enumerate(order)])
+
+
+def _bounds(df: DataFrame, order: Order, ranges: int) -> DataFrame:
+    """One row with the sorted array of at most ``ranges - 1`` keys that separate the ranges."""
+    hashed = df.select(_key(order).alias("k")).withColumn("h", F.xxhash64("k"))
+    picked = (hashed.where(F.col("h").bitwiseAND(F.lit(63)) == 0)
+              .groupBy(F.pmod(F.shiftright("h", 6), F.lit(ranges * PER_RANGE)).alias("bucket"))
+              .agg(F.min(F.struct("h", "k")).alias("least")).select("least.k"))
+    listed = picked.agg(F.array_sort(
+        F.collect_list("k"),
+        lambda a, b: F.when(_sooner(a, b, order), -1).when(_sooner(b, a, order), 1).otherwise(0)).alias("s"))
+    cut = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)),
+                      lambda i: F.get("s", F.floor(i * F.size("s") / ranges).cast("int")))
+    return listed.select(F.array_distinct(F.filter(cut, lambda k: k.isNotNull())).alias(_BOUNDS))
+
+
+def _range_of(order: Order, ranges: int) -> Column:
+    """How many bounds don't lie after the row's key (binary search, one step per power of two)."""
+    steps = [1 << p for p in reversed(range(ranges.bit_length()))]
+
+    def step(at: Column, width: Column) -> Column:
+        bound = F.get(F.col(_BOUNDS), at + width - 1)
+        inside = at + width <= F.size(_BOUNDS)
+        return F.when(inside & ~_sooner(F.col("_rk_key"), bound, order), at + width).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
+
+
+def _number(df: DataFrame, order: Order, group: list[str], ranges: int) -> DataFrame:
+    """``df`` with ``_rk_before``: the sum of ``_rk_weight`` over the rows of the group that sort before."""
+    whole: Order = [(g, False) for g in group] + list(order)
+    ranged = df
+    if ranges > 1:
+        bounds = _bounds(df, whole, ranges).scalar()
+        ranged = (df.withColumn(_BOUNDS, bounds).withColumn("_rk_key", _key(whole))
+                  .withColumn(_RANGE, _range_of(whole, ranges)).drop(_BOUNDS, "_rk_key"))
+    else:
+        ranged = df.withColumn(_RANGE, F.lit(0))
+    keys = [_RANGE, *group]
+    earlier = Window.partitionBy(*group).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy(*keys).agg(F.sum(_WEIGHT).alias("_n"))
+               .withColumn(_OFFSET, F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+               .select(*[F.col(k).alias(f"_rk_o{i}") for i, k in enumerate(keys)], _OFFSET))
+    sort = [F.col(c).desc() if down else F.col(c).asc() for c, down in order]
+    inside = Window.partitionBy(*keys).orderBy(*sort).rowsBetween(Window.unboundedPreceding, -1)
+    numbered = ranged.withColumn("_rk_in", F.coalesce(F.sum(_WEIGHT).over(inside), F.lit(0)))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_rk_o{i}"))
+    return numbered.join(offsets, same).select(*df.columns, (F.col(_OFFSET) + F.col("_rk_in")).alias(_BEFORE))
+
+
+def distributed_rank(df: DataFrame, order: Order, group: Sequence[str] = (), tiebreak: Sequence[str] = (),
+                     method: str = "rank", out: str = "rank", partitions: int | None = None) -> DataFrame:
     """Add ``out`` = RANK() or ROW_NUMBER() over (partition by group order by order).
 
     ``order`` is a list of (column, descending). ``tiebreak`` columns complete
-    the order to a total one (required for ``row_number``; for ``rank`` they
-    only make the physical layout reproducible). Descending puts nulls last,
+    the order to a total one for ``row_number``. Descending puts nulls last,
     ascending puts them first, as Spark and SQL ``ORDER BY`` do by default.
+    ``partitions`` is the number of ranges, by default the shuffle width.
     """
     if method not in ("rank", "row_number"):
         raise ValueError(f"unknown method {method!r}")
-    group, tiebreak = list(group), list(tiebreak)
-    order_cols = [c for c, _ in order]
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    sort = _sort_exprs(group, order, tiebreak)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    by_range = df.repartitionByRange(n, *sort)
-
-    ranged = (
-        by_range
-        .sortWithinPartitions(*sort)
-        .withColumn(_PID, F.spark_partition_id())
-    )
-    schema = StructType(ranged.schema.fields + [
-        StructField(_LIDX, LongType(), False), StructField(_LSTART, LongType(), False)])
-    # Persist first: a reliable checkpoint writes in a second job, which then
-    # reads the cached partitions instead of recomputing them.
-    staged = ranged.mapInArrow(_local_numbering(group, order_cols), schema).persist()
-    numbered = staged.checkpoint(eager=True)
-    staged.unpersist()
-
-    keys = [_PID] + group
-    first = F.struct(*[F.col(c) for c in order_cols])
-    summary = (
-        numbered.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"),
-             F.min_by(first, F.col(_LIDX)).alias("_first"),
-             F.max_by(first, F.col(_LIDX)).alias("_last"),
-             F.max(_LSTART).alias("_last_start"))
-    )
-    spec = Window.partitionBy(*group) if group else Window
-    before = spec.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint"))
-
-    if method == "rank":
-        # A run of equal values may start in an earlier range: its rank is the
-        # smallest global start among range boundaries holding that value.
-        bounds = summary.select(*group, F.col("_first").alias("_v"), F.col("_off").alias("_s")).unionByName(
-            summary.select(*group, F.col("_last").alias("_v"), (F.col("_off") + F.col("_last_start")).alias("_s")))
-        starts = (bounds.groupBy(*group, "_v").agg(F.min("_s").alias("_run_start"))
-                  .select(*[F.col(g).alias(f"_t_{g}") for g in group], F.col("_v").alias("_t_v"), "_run_start"))
-        cond = F.col("_first").eqNullSafe(F.col("_t_v"))
-        for g in group:
-            cond = cond & F.col(g).eqNullSafe(F.col(f"_t_{g}"))
-        summary = summary.join(starts, cond, "left").select(*summary.columns, "_run_start")
-
-    summary = summary.drop("_last", "_last_start", "_n")
-    summary = summary.select(*[F.col(c).alias(f"_s_{c}") for c in summary.columns])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_s_{k}"))
-        cond = c if cond is None else cond & c
-    joined = numbered.join(summary, cond, "inner")
-    off = F.col("_s__off")
+    group, order = list(group), list(order)
+    ranges = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    value = (F.col(_BEFORE) + 1).cast("bigint").alias(out)
     if method == "row_number":
-        value = off + F.col(_LIDX) + 1
-    else:
-        value = F.when(first.eqNullSafe(F.col("_s__first")), F.col("_s__run_start") + 1) \
-                 .otherwise(off + F.col(_LSTART) + 1)
-    return joined.select(*df.columns, value.cast("bigint").alias(out))
+        full = order + [(t, False) for t in tiebreak]
+        return _number(df.withColumn(_WEIGHT, F.lit(1)), full, group, ranges).select(*df.columns, value)
+    keys = group + [c for c, _ in order]
+    values = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_WEIGHT))
+    ranked = _number(values, order, group, ranges).select(
+        *[F.col(k).alias(f"_rk_v{i}") for i, k in enumerate(keys)], value.alias("_rk_rank"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_rk_v{i}"))
+    return df.join(ranked, same).select(*df.columns, F.col("_rk_rank").alias(out))
 
 
 __all__ = ["distributed_rank"]
