@@ -92,6 +92,12 @@ def kpi_delays(delay_alerts: DataFrame) -> DataFrame:
     return delay_alerts.agg(F.count(F.lit(1)).alias("total_delays"))
 
 
+def kpi_delays_of(alerts: DataFrame, batches: DataFrame) -> DataFrame:
+    """G7 without the alert table: every alert recurs in every batch, so the counts multiply."""
+    loads = batches.agg(F.count(F.lit(1)))
+    return alerts.agg(F.count(F.lit(1)).alias("n")).select((F.col("n") * loads.scalar()).alias("total_delays"))
+
+
 def top_products(filtered_sales: DataFrame, k: int = TOP_K) -> DataFrame:
     """O1: top products by revenue, grouped by name; ties broken by name."""
     return (
@@ -153,6 +159,13 @@ def supplier_delay_summary(delay_alerts: DataFrame) -> DataFrame:
     )
 
 
+def supplier_delay_summary_of(alerts: DataFrame, batches: DataFrame) -> DataFrame:
+    """G10 without the alert table: the counts multiply by the number of batches, the means stay. No batch: no rows."""
+    loads = batches.agg(F.count(F.lit(1)).alias("n"))
+    return (supplier_delay_summary(alerts).withColumn("loads", loads.scalar()).filter("loads > 0")
+            .select("supplier_id", (F.col("delayed_orders") * F.col("loads")).alias("delayed_orders"), "avg_delay"))
+
+
 def supplier_delay_distinct(delay_alerts: DataFrame) -> DataFrame:
     """H5: the same per supplier, counting each purchase order once however many batches saw it."""
     per_po = (delay_alerts.filter(F.col("supplier_id").isNotNull())
@@ -167,21 +180,29 @@ def latest_batch(df: DataFrame) -> DataFrame:
     return df.filter(F.col(BATCH) == newest.scalar())
 
 
-def latest_ranking(ranking: DataFrame) -> DataFrame:
-    """L2: latest batch's ranking, best first."""
-    return (latest_batch(ranking)
-            .select("rank", "product_id", "product_name", "units_sold", "total_revenue")
+def ranking_list(ranking: DataFrame) -> DataFrame:
+    """One batch's ranking, best first."""
+    return (ranking.select("rank", "product_id", "product_name", "units_sold", "total_revenue")
             .orderBy("rank", "product_id", "product_name"))
 
 
-def latest_delays(delay_alerts: DataFrame) -> DataFrame:
-    """L3: latest batch's delay alerts, longest delay first."""
-    return (latest_batch(delay_alerts)
-            .select("po_id", "product_id", "supplier_id", "expected_delivery_date",
-                    "actual_delivery_date", "delay_days")
+def latest_ranking(ranking: DataFrame) -> DataFrame:
+    """L2 over a stored table: the latest batch's ranking, best first."""
+    return ranking_list(latest_batch(ranking))
+
+
+def delay_list(delay_alerts: DataFrame) -> DataFrame:
+    """One batch's delay alerts, longest delay first."""
+    return (delay_alerts.select("po_id", "product_id", "supplier_id", "expected_delivery_date",
+                                "actual_delivery_date", "delay_days")
             .orderBy(F.col("delay_days").desc(), F.col("po_id")))
 
 
+def latest_delays(delay_alerts: DataFrame) -> DataFrame:
+    """L3 over a stored table: the latest batch's delay alerts, longest delay first."""
+    return delay_list(latest_batch(delay_alerts))
+
+
 def _chunks(listing: DataFrame) -> DataFrame:
     """(chunk, bytes) of a written feed: a chunk is the number of its folder, whatever files hold it."""
     chunk = F.regexp_extract("path", r"/feed_batch=([0-9]+)/", 1).cast("bigint").alias("chunk")

@@ -77,6 +77,28 @@ def inventory_calculation(sales_agg: DataFrame, warehouse_clean: DataFrame,
     )
 
 
+def newest_batch(batches: DataFrame) -> DataFrame:
+    """One row with the newest batch id; null where there is no batch."""
+    return batches.agg(F.max(BATCH).alias(BATCH))
+
+
+def of_batch(df: DataFrame, batch: DataFrame) -> DataFrame:
+    """Rows of the one batch that ``batch`` holds (a scalar subquery, pushed down to the feed's scan side)."""
+    return df.filter(F.col(BATCH) == batch.scalar())
+
+
+def newest_inventory(sales_agg: DataFrame, warehouse_clean: DataFrame, batches: DataFrame) -> DataFrame:
+    """T1 for the newest batch alone, without repeating the warehouse for the others.
+
+    Every product of the warehouse has a row in every batch, so this holds each
+    product's latest row (L1). No batch: no rows.
+    """
+    newest = newest_batch(batches)
+    sold = of_batch(sales_agg, newest).drop(BATCH)
+    stock = inventory_calculation(sold, warehouse_clean).withColumn(BATCH, newest.scalar())
+    return stock.filter(F.col(BATCH).isNotNull()).select(BATCH, *[c for c in stock.columns if c != BATCH])
+
+
 def product_ranking(sales_agg: DataFrame) -> DataFrame:
     """W1 (with G3): products ranked by revenue within the batch, RANK() semantics.
 

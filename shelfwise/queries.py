@@ -86,7 +86,8 @@ def delay_table(spark, d):
 
 
 def latest_inv(spark, d):
-    return R.latest_inventory(inventory(spark, d))
+    """L1 from the newest batch; a product listed twice still has one row."""
+    return R.latest_inventory(T.newest_inventory(sales_agg(spark, d), warehouse_clean(spark, d), batches(spark, d)))
 
 
 def raw_clean(spark, d):
@@ -206,6 +207,12 @@ def q_supplier_delay_alerts(spark, d):
     return delays(spark, d)
 
 
+@register("delay_alert_table", O.with_ctes("SELECT * FROM delay_table", "delay_table"))
+def q_delay_alert_table(spark, d):
+    """The alert table as loaded, every alert once per micro-batch."""
+    return delay_table(spark, d)
+
+
 # ---- H2, H4, H5 ----------------------------------------------------------------
 
 @register("product_ranking_global", O.with_ctes("""
@@ -238,7 +245,8 @@ FROM (SELECT supplier_id, po_id, max(delay_days) AS delay_days FROM delay_table
       WHERE supplier_id IS NOT NULL GROUP BY supplier_id, po_id)
 GROUP BY supplier_id""", "delay_table"))
 def q_supplier_delay_distinct(spark, d):
-    return R.supplier_delay_distinct(delay_table(spark, d))
+    # every batch holds the same alerts, so one copy of each purchase order is the distinct list
+    return R.supplier_delay_distinct(delays(spark, d))
 
 
 # ---- G4-G7, T5 -----------------------------------------------------------------
@@ -257,6 +265,16 @@ def q_kpi_totals(spark, d):
     return R.kpi_totals(R.sales_filtered(sales_agg(spark, d), STORE, None))
 
 
+@register("kpi_totals_all", O.with_ctes("""
+SELECT coalesce(cast(sum(cast(cast(total_revenue AS varchar) AS decimal(28,10))) AS double), 0.0) AS total_revenue,
+       cast(coalesce(sum(units_sold), 0) AS bigint) AS total_units,
+       cast(coalesce(sum(txn_count), 0) AS bigint) AS total_txns
+FROM sales_agg""", "sales_agg"))
+def q_kpi_totals_all(spark, d):
+    """G4 with the dashboard's default filter: every store."""
+    return R.kpi_totals(R.sales_filtered(sales_agg(spark, d), R.ALL_STORES, None))
+
+
 @register("active_batches", O.with_ctes(
     "SELECT cast(count(DISTINCT batch_id) AS bigint) AS active_batches FROM sales_agg", "sales_agg"))
 def q_active_batches(spark, d):
@@ -274,7 +292,7 @@ def q_kpi_low_stock(spark, d):
 @register("kpi_delays", O.with_ctes(
     "SELECT cast(count(*) AS bigint) AS total_delays FROM delay_table", "delay_table"))
 def q_kpi_delays(spark, d):
-    return R.kpi_delays(delay_table(spark, d))
+    return R.kpi_delays_of(delays(spark, d), batches(spark, d))
 
 
 # ---- C11-C13 -------------------------------------------------------------------
@@ -313,6 +331,15 @@ def q_top_products(spark, d):
     return R.top_products(R.sales_filtered(sales_agg(spark, d), STORE, None))
 
 
+@register("top_products_all", O.with_ctes("""
+SELECT product_name, cast(sum(cast(cast(total_revenue AS varchar) AS decimal(28,10))) AS double) AS total_revenue
+FROM sales_agg WHERE product_name IS NOT NULL
+GROUP BY product_name ORDER BY total_revenue DESC, product_name ASC LIMIT 15""", "sales_agg"))
+def q_top_products_all(spark, d):
+    """O1 with the dashboard's default filter: every store."""
+    return R.top_products(R.sales_filtered(sales_agg(spark, d), R.ALL_STORES, None))
+
+
 @register("lowest_stock", O.with_ctes(
     "SELECT * FROM latest_inv ORDER BY current_stock ASC, product_id ASC LIMIT 15", "latest_inv"))
 def q_lowest_stock(spark, d):
@@ -356,7 +383,7 @@ def q_batch_summary(spark, d):
 SELECT supplier_id, cast(count(po_id) AS bigint) AS delayed_orders, avg(delay_days) AS avg_delay
 FROM delay_table WHERE supplier_id IS NOT NULL GROUP BY supplier_id""", "delay_table"))
 def q_supplier_delay_summary(spark, d):
-    return R.supplier_delay_summary(delay_table(spark, d))
+    return R.supplier_delay_summary_of(delays(spark, d), batches(spark, d))
 
 
 # ---- L1-L3 ---------------------------------------------------------------------
@@ -370,14 +397,17 @@ def q_latest_inventory(spark, d):
 SELECT rank, product_id, product_name, units_sold, total_revenue
 FROM ranking WHERE batch_id = (SELECT max(batch_id) FROM ranking)""", "ranking"))
 def q_latest_ranking(spark, d):
-    return R.latest_ranking(ranking(spark, d))
+    sold = C.pos_valid(C.pos_drop_nulls(V.pos(spark, d)))
+    newest = T.newest_batch(T.batch_ids(sold))
+    return R.ranking_list(T.product_ranking(T.of_batch(sales_agg(spark, d), newest)))
 
 
 @register("latest_delays", O.with_ctes("""
 SELECT po_id, product_id, supplier_id, expected_delivery_date, actual_delivery_date, delay_days
 FROM delay_table WHERE batch_id = (SELECT max(batch_id) FROM delay_table)""", "delay_table"))
 def q_latest_delays(spark, d):
-    return R.latest_delays(delay_table(spark, d))
+    # the newest batch holds every alert once
+    return R.delay_list(delays(spark, d))
 
 
 # ---- C8, T6-T8, N2 -------------------------------------------------------------
@@ -463,7 +493,7 @@ def q_stream_pos_resume(spark, d):
     root, feed, out, ckpt = _stream_setup(spark, d, "stream-resume")
     pos = V.pos(spark, d)
     wh, sup = _loaders(spark, d)
-    ST.stage_pos_feed(spark, pos.filter("batch_id < 40"), feed, STREAM_FILES // 2, start_ms=1_600_000_000_000)
+    ST.stage_pos_feed(spark, pos.filter("coalesce(batch_id, 0) < 40"), feed, STREAM_FILES // 2, start_ms=1_600_000_000_000)
     P.run_stream(spark, feed, out, ckpt, wh, sup)
     ST.stage_pos_feed(spark, pos.filter("batch_id >= 40"), feed, STREAM_FILES // 2, start_ms=1_700_000_000_000)
     P.run_stream(spark, feed, out, ckpt, wh, sup)

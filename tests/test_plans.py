@@ -14,7 +14,8 @@ from shelfwise.sinks.tables import load_result
 from shelfwise.sources.files import result_table
 
 STREAMING = {"stream_pos_sales", "stream_inventory", "stream_pos_resume", "stream_replay", "stream_dedup"}
-RANKED = {"product_ranking", "product_ranking_global", "latest_ranking", "product_catalog", "feed_chunks"}
+NEWEST_ONLY = ["kpi_delays", "supplier_delay_summary", "supplier_delay_distinct", "latest_delays", "latest_inventory",
+               "kpi_low_stock", "lowest_stock", "critical_items"]
 
 
 def _plan(df):
@@ -26,8 +27,7 @@ def _plan(df):
 def test_no_row_python_udf(spark, name):
     plan = _plan(entry.queries()[name](spark, SF_SMALL))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    if name not in RANKED:
-        assert "MapInArrow" not in plan and "PythonMapInArrow" not in plan
+    assert "MapInArrow" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
@@ -44,7 +44,8 @@ def test_latest_batch_is_partition_filter(spark, tmp_dir):
     load_result(df, tmp_dir, "product_ranking")
     q = latest_ranking(result_table(spark, tmp_dir, "product_ranking"))
     assert [r.product_id for r in q.collect()] == ["P4"]
-    assert "PartitionFilters: [isnotnull(batch_id" in _plan(q)
+    filters = [ln.split("PartitionFilters: [")[1].split("]")[0] for ln in _plan(q).splitlines() if "PartitionFilters" in ln]
+    assert any("batch_id" in f and "ubquery" in f for f in filters), filters
 
 
 def test_hot_txn_id_dedup_and_rejects(spark):
@@ -83,6 +84,11 @@ def test_inventory_batches_without_cross_join(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+@pytest.mark.parametrize("name", NEWEST_ONLY)
+def test_reports_dont_multiply_by_batches(spark, name):
+    assert "Generate explode" not in _plan(entry.queries()[name](spark, SF_SMALL))
+
+
 def test_no_forced_broadcast(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
