@@ -21,7 +21,7 @@ def get_session(master: str | None = None, app: str = "shelfwise") -> SparkSessi
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # rank checkpoints of finished micro-batches are removed once unreferenced
+        # checkpoints are removed once unreferenced
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:

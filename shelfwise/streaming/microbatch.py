@@ -43,8 +43,7 @@ def batch_results(pos_batch: DataFrame, warehouse_clean: DataFrame, delay_alerts
     Takes the cleaned warehouse and the supplier delay alerts (see
     :class:`ReferenceCache`); ``keep`` is applied to frames read by more than
     one result (sales and inventory); the stream passes ``persist``. Builders
-    are returned so that each result, including the ranking's checkpoint job,
-    can be produced in its own job thread.
+    are returned so that each result can be produced in its own job thread.
     """
     pos_clean = C.clean_pos(pos_batch)
     sales = keep(T.sales_aggregation(pos_clean))
