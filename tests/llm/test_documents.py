@@ -169,6 +169,27 @@ def test_lines_equal_brute_force(spark, monkeypatch):
     assert texts == {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in got) for i, t in docs.items()}
 
 
+def test_short_lines_at_the_threshold_always_meet(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
+    docs = {}
+    for n in range(3, 31):
+        for _ in range(4):
+            line = [word() for _ in range(n)]
+            edited, longer = list(line), list(line)
+            for i in rng.sample(range(n), n // 7):
+                edited[i] = edited[i][:-1] + "0"
+            for i in sorted(rng.sample(range(n), min(n // 3, 32 - n)), reverse=True):
+                longer.insert(i, longer[i][:3] + word())  # one shingle more, none lost
+            for other in (edited, longer):
+                docs[len(docs)] = " ".join(line)
+                docs[len(docs)] = " ".join(other)
+    got = {(r.id, r.at) for r in fuzzy_lines.dropped_lines(spark.createDataFrame(
+        list(docs.items()), "doc_id bigint, text string")).where("drop").collect()}
+    assert got == plain_lines(docs)
+    assert {(i, 0) for i in docs if i % 2} <= got
+
+
 def test_lines_awkward_rows(edge_docs, no_docs):
     out = fuzzy_lines.dedup_lines(edge_docs)
     assert out.columns == edge_docs.columns
