@@ -624,6 +624,9 @@ def q_raw_sales_csv_scan(spark, d):
     return S.raw_sales_csv(spark, folder).select(*raw.columns)
 
 
+SUPPLIER_ROWS_A_FILE = 10_000
+
+
 @register("supplier_json_scan", O.with_ctes(
     "SELECT po_id, product_id, supplier_id, cast(expected_delivery_date AS varchar) AS expected_delivery_date, "
     "cast(actual_delivery_date AS varchar) AS actual_delivery_date FROM supplier_po", "supplier_po"))
@@ -631,8 +634,9 @@ def q_supplier_json_scan(spark, d):
     """S3: supplier updates written as JSON and read as the feed's reader does."""
     folder = work_dir(spark, "supplier-json")
     po = V.supplier_po(spark, d)
-    # one array a file, over many lines: a file for each of 64 hash buckets
-    po.select(F.pmod(F.xxhash64("po_id"), F.lit(64)).alias("_b"), F.to_json(F.struct(*po.columns)).alias("j")) \
+    # one array a file, over many lines: as many hash buckets as the rows need, so no string grows with the table
+    files = po.agg(F.greatest(F.lit(1).cast("bigint"), F.ceil(F.count(F.lit(1)) / SUPPLIER_ROWS_A_FILE)).alias("n"))
+    po.select(F.pmod(F.xxhash64(*po.columns), files.scalar()).alias("_b"), F.to_json(F.struct(*po.columns)).alias("j")) \
         .groupBy("_b").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("j"), ",\n"), F.lit("\n]")).alias("value")) \
         .write.partitionBy("_b").text(folder)
     return S.supplier_json(spark, folder).select(*po.columns)

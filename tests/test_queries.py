@@ -1,12 +1,13 @@
 """Every registered query against its DuckDB SQL on the smallest scale factor."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from oracle_check import compare
-from shelfwise.queries import QUERIES
+from shelfwise.queries import QUERIES, SUPPLIER_ROWS_A_FILE
 
-from conftest import SF_SMALL
+from conftest import SF_CHECK, SF_SMALL
 
 STREAMING = {"stream_split_batch", "stream_pos_sales", "stream_inventory", "stream_pos_resume", "stream_replay", "stream_dedup"}
 
@@ -33,3 +34,13 @@ def test_query_matches_oracle(spark, name):
 def test_streaming_queries_match_oracle(spark):
     res = compare(spark, SF_SMALL, sorted(STREAMING), verbose=False)
     assert all(v[0] == "ok" for v in res.values()), res
+
+
+def test_supplier_files_grow_with_the_rows(spark):
+    files = []
+    for sf in (SF_SMALL, SF_CHECK):
+        df = QUERIES["supplier_json_scan"](spark, sf)
+        rows = [r["count"] for r in df.groupBy(F.input_file_name()).count().collect()]
+        assert max(rows) <= 1.2 * SUPPLIER_ROWS_A_FILE
+        files.append(len(rows))
+    assert files[0] < files[1] <= 60_000 / SUPPLIER_ROWS_A_FILE + 2
