@@ -2,10 +2,14 @@
 
 1. The lexicon is learned from a bounded sample of labelled documents: words,
    and stems (word beginnings), that occur in toxic documents far more often
-   than in others. It is a bounded list, kept as a trie.
+   than in others. Stems allow no edits; the words seen with a stem are entries
+   beside it, which do. It is a bounded list, kept as a trie.
 2. The automaton that accepts every word within ``EDITS`` edits of an entry is
    intersected with the trie: states are sets of (trie node, edits used), and
-   the sets are made deterministic once, as a transition table. All distinct
+   the sets are made deterministic once, as a transition table. An edit is a
+   letter more, less or changed, or two neighbours swapped. A word that an edit
+   makes an entry of ``SHORTEST_GUARDED`` letters counts only if no clean
+   document of the sample has it. All distinct
    words of a batch advance through the table together, a character a step.
 3. Each hit is scored in a window of ``WINDOW`` words to either side: quotation
    marks around it and words of reporting mark a quotation; words of address
@@ -21,6 +25,9 @@ lexicon is empty and every score is the prior's.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -33,10 +40,10 @@ TRAIN_ROWS = 6000
 ENTRIES = 400
 EDITS = 1
 SHORTEST_FUZZY = 5
+SHORTEST_GUARDED = 4
 SHORTEST_STEM = 4
 LONGEST_STEM = 8
 STEM_WORDS = 5
-SUPPORT = 0.02
 ODDS = 25.0
 CHANCE = 0.1
 WINDOW = 8
@@ -54,10 +61,12 @@ PRIOR = np.array([-3.0, 4.0, 1.0, 0.5, 0.5, 0.5, 1.0])
 class Automaton:
     """Transition table over (trie node, edits used) sets for a list of (entry, is stem)."""
 
-    def __init__(self, entries: list[tuple[str, bool]], edits: int = EDITS, shortest: int = SHORTEST_FUZZY):
+    def __init__(self, entries: list[tuple[str, bool]], edits: int = EDITS, shortest: int = SHORTEST_FUZZY,
+                 guarded: int = SHORTEST_GUARDED, ordinary: frozenset[str] = frozenset()):
+        self.entries, self.ordinary = entries, ordinary
         self.alphabet = {c: i + 1 for i, c in enumerate(sorted({c for w, _ in entries for c in w}))}
         children: list[dict[str, int]] = [{}]
-        ends: list[int] = [0]  # 1: a word ends here, 2: a stem does
+        ends: list[int] = [0]  # bits: 1 a word ends here, 2 a stem does, 4 the word allows edits, 8 only with a guard
         fuzzy: list[bool] = [False]  # an entry that allows edits lies below
         for word, stem in entries:
             node = 0
@@ -66,12 +75,12 @@ class Automaton:
                     children[node][c] = len(children)
                     children.append({}), ends.append(0), fuzzy.append(False)
                 node = children[node][c]
-                fuzzy[node] |= len(word) >= shortest and not stem
-            ends[node] |= 2 if stem else 1
+                fuzzy[node] |= len(word) >= min(shortest, guarded) and not stem
+            ends[node] |= 2 if stem else 1 | (4 if len(word) >= shortest else 8 if len(word) >= guarded else 0)
         fuzzy[0] = True
         self._children, self._ends, self._fuzzy, self._edits = children, ends, fuzzy, edits
         letters = [None, *self.alphabet]
-        start = self._closed({(0, 0)})
+        start = self._closed({(0, 0, "")})
         states, rows, accepts = {frozenset(): 0, start: 1}, [[0] * len(letters)], [0, self._accepts(start)]
         queue = [start]
         while queue:
@@ -93,41 +102,52 @@ class Automaton:
         """With entry letters skipped in the word, which costs an edit and no letter."""
         out, queue = set(state), list(state)
         while queue:
-            node, used = queue.pop()
-            if node >= 0 and used < self._edits:
+            node, used, late = queue.pop()
+            if node >= 0 and used < self._edits and not late:
                 for child in self._children[node].values():
-                    if self._fuzzy[child] and (child, used + 1) not in out:
-                        out.add((child, used + 1)), queue.append((child, used + 1))
+                    if self._fuzzy[child] and (child, used + 1, "") not in out:
+                        out.add((child, used + 1, "")), queue.append((child, used + 1, ""))
         # a node reached with fewer edits makes the same node with more needless
-        return frozenset((n, u) for n, u in out if not any((n, v) in out for v in range(u)))
+        return frozenset((n, u, k) for n, u, k in out if k or not any((n, v, "") in out for v in range(u)))
 
     def _step(self, state: frozenset, c: str | None) -> frozenset:
+        """States are (node, edits used, and within a swap the letters (to come, read too early), else empty)."""
         out = set()
-        for node, used in state:
+        for node, used, late in state:
+            if late:
+                if c == late[0]:
+                    out.add((self._children[self._children[node][c]][late[1]], used, ""))
+                continue
             if node < 0 or self._ends[node] & 2 and used == 0:
-                out.add((-1, 0))  # past a whole stem: anything may follow
+                out.add((-1, 0, ""))  # past a whole stem: anything may follow
             if node < 0:
                 continue
             children = self._children[node]
             if c in children:
-                out.add((children[c], used))
+                out.add((children[c], used, ""))
             if used < self._edits and self._fuzzy[node]:
-                out.add((node, used + 1))  # a letter too many
-                out.update((child, used + 1) for child in children.values() if self._fuzzy[child])
+                out.add((node, used + 1, ""))  # a letter too many
+                out.update((child, used + 1, "") for child in children.values() if self._fuzzy[child])
+                out.update((node, used + 1, (x, c)) for x, child in children.items()
+                           if x != c and c in self._children[child] and self._fuzzy[self._children[child][c]])
         return self._closed(out)
 
     def _accepts(self, state: frozenset) -> int:
-        """1: an entry or a word with an entry stem, 2: within the edits of an entry, 0: neither."""
+        """1: an entry or a word with an entry stem, 2: within the edits of an entry, 3: of a guarded one, 0: neither."""
         best = 0
-        for node, used in state:
+        for node, used, late in state:
+            if late:
+                continue
             if node < 0 or self._ends[node] and used == 0:
                 return 1
-            if self._ends[node] & 1 and self._fuzzy[node]:
+            if self._ends[node] & 4:
                 best = 2
+            elif self._ends[node] & 8 and not best:
+                best = 3
         return best
 
     def match(self, words: list[str]) -> np.ndarray:
-        """For each word 0, 1 or 2, as :meth:`_accepts`."""
+        """For each word 0, 1 or 2, as :meth:`_accepts`; a guarded hit is 2, or 0 if the word is an ordinary one."""
         n = len(words)
         if not n:
             return np.zeros(0, np.int8)
@@ -147,7 +167,10 @@ class Automaton:
             state[live] = self.table[state[live], letters[starts[live] + step]]
             step += 1
             live = live[(state[live] != 0) & (lengths[live] > step)]
-        return self.accepts[state]
+        kinds = self.accepts[state]
+        for i in np.flatnonzero(kinds == 3):
+            kinds[i] = 0 if words[i] in self.ordinary else 2
+        return kinds
 
 
 def clean_word(word: str) -> str:
@@ -225,7 +248,7 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool]]:
                       f" + if(c > 0, (c / (t + c)) * ln((c / (t + c)) / {1 - share}D), 0D))")
     least = float(np.log(max(counts.count(), 1) / CHANCE))
     found = (counts.withColumn("odds", (F.col("t") + 0.5) / (toxic + 1) / ((F.col("c") + 0.5) / (clean + 1)))
-             .where((F.col("t") >= SUPPORT * toxic) & (F.col("odds") >= ODDS) & (surprise >= least))
+             .where((F.col("odds") >= ODDS) & (surprise >= least))
              .where(f"not stem or (words >= {STEM_WORDS} and t >= 1.5 * most)")
              .orderBy(F.col("odds").desc(), "term", "stem").limit(4 * ENTRIES).collect()) if clean else []
     stems = {r["term"]: r["t"] for r in found if r["stem"]}
@@ -237,7 +260,28 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool]]:
             chosen[root] = stem
     kept = set(chosen.values())
     words = [r["term"] for r in found if not r["stem"] and not any(r["term"].startswith(s) for s in kept)]
-    return ([(s, True) for s in sorted(kept)] + [(w, False) for w in words])[:ENTRIES]
+    entries = ([(s, True) for s in sorted(kept)] + [(w, False) for w in words])[:ENTRIES]
+    # a stem's words are evidence by their stem; entries of their own, they are found misspelled too
+    begin = [F.col("term").startswith(s) for s, stem in entries if stem]
+    inside = (counts.where(~F.col("stem") & reduce(or_, begin))
+              .where((F.col("t") + 0.5) / (toxic + 1) >= ODDS * (F.col("c") + 0.5) / (clean + 1))
+              .orderBy(F.col("t").desc(), "term").limit(ENTRIES).collect()) if begin else []
+    return entries + [(r["term"], False) for r in inside]
+
+
+def ordinary_words(sample: DataFrame, automaton: Automaton) -> frozenset[str]:
+    """Words of clean documents in the sample that an edit makes a guarded entry."""
+
+    def run(batches):
+        for batch in batches:
+            words = sorted({clean_word(w) for t in batch.column(0) for w in (t.as_py() or "").split()})
+            kinds = automaton.match(words)
+            yield pa.record_batch([pa.array([w for w, k in zip(words, kinds) if k == 2], pa.string())], names=["word"])
+
+    if not any(len(w) == SHORTEST_GUARDED and not stem for w, stem in automaton.entries):
+        return frozenset()
+    found = sample.where("label = 0").select("text").mapInArrow(run, "word string").distinct()
+    return frozenset(r["word"] for r in found.collect())
 
 
 def fit_weights(rows: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -256,6 +300,7 @@ def fit_weights(rows: np.ndarray, target: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS) -> tuple[Automaton, np.ndarray]:
     sample = scratch(training_sample(docs, labels, label, rows), "toxic-sample")
     automaton = Automaton(learn_lexicon(sample))
+    automaton.ordinary = ordinary_words(sample, automaton)
 
     def run(batches):
         for batch in batches:

@@ -336,6 +336,26 @@ def test_automaton_equals_edit_distance():
         assert got == (1 if exact else 2 if near else 0), word
 
 
+def test_automaton_swaps_and_guarded_words():
+    auto = toxicity.Automaton([("idiot", False), ("scum", False), ("bad", False)], ordinary=frozenset({"scam"}))
+    words = ["idiot", "idoit", "diiot", "idito", "idoti", "ldiot", "scum", "scmu", "csum", "scun", "scam", "bda", "tidio"]
+    assert auto.match(words).tolist() == [1, 2, 2, 2, 0, 2, 1, 2, 2, 2, 0, 0, 0]
+
+
+def test_lexicon_finds_words_of_stems_and_rare_words_misspelled(spark):
+    rng = random.Random(8)
+    ends = ["", "s", "ic", "ish", "ical", "dom"]
+    rows = []
+    for i in range(3000):
+        toxic = i % 3 == 0
+        bad = "" if not toxic else " scum" if i % 90 == 0 else " idiot" + ends[i // 3 % len(ends)]
+        rows.append((edge.prose(rng, 12) + bad, float(toxic)))
+    entries = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, label double"))
+    auto = toxicity.Automaton(entries)
+    assert any(stem and "idiotish".startswith(w) for w, stem in entries) and ("idiotish", False) in entries
+    assert auto.match(["ldiot", "iddiot", "idoit", "idoitish", "scum", "scmu"]).tolist() == [2, 2, 2, 2, 1, 2]
+
+
 def test_quotation_differs_from_abuse():
     auto = toxicity.Automaton([("stupid", False)])
     quoted, plain = (toxicity.features(*toxicity.hits([t], auto)[0]) for t in
