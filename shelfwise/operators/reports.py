@@ -166,6 +166,12 @@ def supplier_delay_summary_of(alerts: DataFrame, batches: DataFrame) -> DataFram
             .select("supplier_id", (F.col("delayed_orders") * F.col("loads")).alias("delayed_orders"), "avg_delay"))
 
 
+def where_loaded(alerts: DataFrame, batches: DataFrame) -> DataFrame:
+    """The alerts as any one batch holds them. No batch: no rows."""
+    loads = batches.agg(F.count(F.lit(1)).alias("n"))
+    return alerts.withColumn("loads", loads.scalar()).filter("loads > 0").drop("loads")
+
+
 def supplier_delay_distinct(delay_alerts: DataFrame) -> DataFrame:
     """H5: the same per supplier, counting each purchase order once however many batches saw it."""
     per_po = (delay_alerts.filter(F.col("supplier_id").isNotNull())

@@ -246,7 +246,7 @@ FROM (SELECT supplier_id, po_id, max(delay_days) AS delay_days FROM delay_table
 GROUP BY supplier_id""", "delay_table"))
 def q_supplier_delay_distinct(spark, d):
     # every batch holds the same alerts, so one copy of each purchase order is the distinct list
-    return R.supplier_delay_distinct(delays(spark, d))
+    return R.supplier_delay_distinct(R.where_loaded(delays(spark, d), batches(spark, d)))
 
 
 # ---- G4-G7, T5 -----------------------------------------------------------------
@@ -407,7 +407,7 @@ SELECT po_id, product_id, supplier_id, expected_delivery_date, actual_delivery_d
 FROM delay_table WHERE batch_id = (SELECT max(batch_id) FROM delay_table)""", "delay_table"))
 def q_latest_delays(spark, d):
     # the newest batch holds every alert once
-    return R.delay_list(delays(spark, d))
+    return R.delay_list(R.where_loaded(delays(spark, d), batches(spark, d)))
 
 
 # ---- C8, T6-T8, N2 -------------------------------------------------------------

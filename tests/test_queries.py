@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from oracle_check import compare
 from shelfwise.queries import QUERIES, SUPPLIER_ROWS_A_FILE
+from shelfwise.sources import testviews as V
 
 from conftest import SF_CHECK, SF_SMALL
 
@@ -44,3 +45,11 @@ def test_supplier_files_grow_with_the_rows(spark):
         assert max(rows) <= 1.2 * SUPPLIER_ROWS_A_FILE
         files.append(len(rows))
     assert files[0] < files[1] <= 60_000 / SUPPLIER_ROWS_A_FILE + 2
+
+
+@pytest.mark.parametrize("name", ["latest_delays", "supplier_delay_distinct"])
+def test_no_batch_no_delays(spark, monkeypatch, name):
+    assert QUERIES[name](spark, SF_SMALL).count() > 0
+    pos = V.pos
+    monkeypatch.setattr(V, "pos", lambda *a: pos(*a).limit(0))
+    assert QUERIES[name](spark, SF_SMALL).count() == 0
