@@ -4,16 +4,17 @@ The texts of a batch become one array of code points. It is cut wherever no
 piece of the vocabulary spans two neighbouring code points; the distinct words
 between the cuts are grouped by length, and all words of one length advance
 together: at each position the hashes of the substrings that end there probe
-the sorted keys of the pieces, the candidates are scored, and the maximum and
-its backpointer are stored for all words at once.
+the sorted keys of the pieces, and the one candidate that a path may use and its
+backpointer are stored for all words at once. No score is summed or maximised.
 
 The vocabulary is of the BPE kind: the pieces' scores are merge ranks, and the
 segmentation with the highest sum of scores isn't the one the merges lead to.
-So a transition from the best piece that ends before a candidate scores only if
-the two pieces are neighbours in a BPE result, that is if merging the characters
+So a candidate is taken, longest first, if it and the piece stored where it begins
+are neighbours in a BPE result, that is if merging the characters
 of both, lowest rank first, leads back to just these two. Every prefix of a
 word then has exactly one path, its own BPE result, and the ids are those of
-the library. Whether two pieces may be neighbours is read off the order in which
+the library. A vocabulary whose scores aren't whole merge ranks (a unigram model)
+would need the maximum and is refused. Whether two pieces may be neighbours is read off the order in which
 merges build the last symbols of the one and the first of the other; answers
 are kept for the task.
 
@@ -167,7 +168,10 @@ def load(model: str = MODEL) -> Pieces:
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
     n = sp.get_piece_size()
     special = [sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) for i in range(n)]
-    return Pieces([sp.id_to_piece(i) for i in range(n)], [sp.get_score(i) for i in range(n)],
+    scores = [sp.get_score(i) for i in range(n)]
+    if any(not x.is_integer() for x, s in zip(scores, special) if not s):
+        raise ValueError(f"{model} is not a BPE model: its scores are not merge ranks")
+    return Pieces([sp.id_to_piece(i) for i in range(n)], scores,
                   [not s for s in special], [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)])
 
 

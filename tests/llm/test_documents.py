@@ -297,6 +297,21 @@ def test_quality_held_out(spark):
     assert accuracy(spark, mil_quality.quality_scores, "quality") >= 0.93
 
 
+def test_pieces_refuse_a_unigram_model(tmp_path):
+    import sentencepiece
+
+    rng = random.Random(3)
+    kinds = {}
+    for kind in ("unigram", "bpe"):
+        kinds[kind] = str(tmp_path / kind)
+        sentencepiece.SentencePieceTrainer.train(
+            sentence_iterator=iter([edge.prose(rng, 12) for _ in range(500)]), model_prefix=kinds[kind], model_type=kind,
+            vocab_size=400, hard_vocab_limit=False, byte_fallback=True, minloglevel=2)
+    with pytest.raises(ValueError, match="not a BPE model"):
+        piece_viterbi.load(kinds["unigram"] + ".model")
+    assert piece_viterbi.load(kinds["bpe"] + ".model").pieces
+
+
 def test_toxicity_held_out(spark):
     assert accuracy(spark, toxicity.toxicity_scores, "toxic") >= 0.95
 
