@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (budget_mix, fuzzy_lines, mil_quality, multi_index_hash, odd_sketch, order_minhash, piece_viterbi,
-               preference_chat, secret_scan, toxicity)
+from . import (budget_mix, fuzzy_lines, merkle_manifest, mil_quality, multi_index_hash, odd_sketch, order_minhash,
+               piece_viterbi, preference_chat, secret_scan, toxicity)
 from .common import hex_digest, table
 
 
@@ -70,9 +70,26 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index_hash.nearest(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op11_merkle_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in merkle_manifest.FIELDS]
+    altered = [F.expr("replace(text, '\n', '')") if c == "text" else F.col(c) for c in merkle_manifest.FIELDS]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    leaf = merkle_manifest.leaf_digest(fields)
+    rows = docs.select("doc_id", "source", leaf.alias("leaf"),
+                       F.when(tampered & F.contains("text", F.lit("\n")), merkle_manifest.leaf_digest(altered))
+                       .otherwise(leaf).alias("held"))
+    found = merkle_manifest.proofs(merkle_manifest.manifest(rows))
+    others = F.flatten(F.transform("proof", lambda s: s["others"]))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", hex_digest(F.array_join(others, "")).alias("proof_sha256"),
+        merkle_manifest.folded(F.col("held"), F.col("proof")).alias("folded_root")) \
+        .withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_order_minhash, op2_quality_attention, op3_secret_scan, op4_odd_sketch, op5_preference_chat, op6_budget_mix,
-    op7_piece_viterbi, op8_toxicity, op9_fuzzy_lines, op10_multi_index)}
+    op7_piece_viterbi, op8_toxicity, op9_fuzzy_lines, op10_multi_index, op11_merkle_descent)}
 
 
 def _secret_sql() -> str:
@@ -210,10 +227,60 @@ summed as (select *, sum(tokens) over (partition by {keys} order by place, doc_i
 select doc_id, {keys}, tokens, cast(whole + (s <= rest)::int as int) as copies from summed where whole + (s <= rest)::int > 0"""
 
 
+def _merkle_sql(levels: int = 13) -> str:
+    """``levels`` levels of each tree are written out: enough for 3**13 rows a source."""
+    def field(c: str) -> str:
+        return f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(text if c == "text" else c) for c in merkle_manifest.FIELDS) + ")"
+
+    # CRC-32 bit by bit over the decimal digits
+    byte = "list_reduce([xor(c, b)] || range(8), lambda r, k: xor(r >> 1, 3988292384 * (r & 1)))"
+    crc = ("xor(4294967295, list_reduce([4294967295] || list_transform(string_split(cast(doc_id as varchar), ''),"
+           f" lambda x: cast(ord(x) as bigint)), lambda c, b: {byte}))")
+    steps, joins, others, folds = [], [], [], []
+    for t, first in (("s", "select source, pos, leaf h from leaves"),
+                     ("t", "select '0' source, row_number() over (order by source nulls first) - 1 pos, h, source own"
+                           " from subroots")):
+        steps.append(f"{t}0 as ({first})")
+        for k in range(1, levels + 1):
+            sized = (f"{t}{k - 1} p join (select source, count(*) c from {t}{k - 1} group by source) m"
+                     " on p.source is not distinct from m.source")
+            steps.append(f"""
+{t}{k} as (select p.source, pos // 3 pos, sha256(string_agg(h, '' order by pos)) h, list(h order by pos) run
+  from {sized} where c > 1 group by p.source, pos // 3
+  union all select p.source, pos, h, null from {sized} where c = 1)""")
+            row, tree = ("l", "l.source") if t == "s" else ("g", "'0'")
+            joins.append(f"left join {t}{k} on {t}{k}.source is not distinct from {tree}"
+                         f" and {t}{k}.pos = {row}.pos // {3 ** k} and {t}{k}.run is not null")
+            mine = f"({row}.pos // {3 ** (k - 1)}) % 3"
+            others.append(f"coalesce(array_to_string({t}{k}.run[1:{mine}] || {t}{k}.run[{mine} + 2:], ''), '')")
+            mine = f"({'pos' if t == 's' else 'gpos'} // {3 ** (k - 1)}) % 3"
+            folds.append(f"""
+f{len(folds) + 1} as (select * exclude (f), case when r{t}{k} is null then f else sha256(
+  array_to_string(r{t}{k}[1:{mine}], '') || f || array_to_string(r{t}{k}[{mine} + 2:], '')) end f from f{len(folds)})""")
+        if t == "s":
+            steps.append(f"subroots as (select source, h from s{levels})")
+    runs = ", ".join(f"{t}{k}.run as r{t}{k}" for t in "st" for k in range(1, levels + 1))
+    return f"""
+with leaves as (select doc_id, source, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 pos,
+    leaf, case when {crc} % 2 = 0 then {leaf("replace(text, chr(10), '')")} else leaf end held
+  from (select *, {leaf('text')} leaf from documents)),
+{','.join(steps)},
+f0 as (select doc_id, leaf, l.pos, g.pos gpos, g.h subroot, (select h from t{levels}) root,
+    {' || '.join(others)} siblings, held f, {runs}
+  from leaves l join t0 g on g.own is not distinct from l.source {' '.join(joins)}),
+{','.join(folds)}
+select doc_id, leaf, subroot, root, sha256(siblings) as proof_sha256, f as folded_root, f = root as verified
+from f{len(folds)}"""
+
+
 ORACLE = {
     "op3_secret_scan": _secret_sql(),
     "op4_odd_sketch": _NEAR_SQL,
     "op5_preference_chat": _PREFERENCE_SQL,
     "op6_budget_mix": _mix_sql(),
     "op9_fuzzy_lines": _LINES_SQL,
+    "op11_merkle_descent": _merkle_sql(),
 }
