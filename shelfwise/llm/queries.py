@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (budget_mix, fuzzy_lines, merkle_manifest, mil_quality, multi_index_hash, odd_sketch, order_minhash,
-               piece_viterbi, preference_chat, secret_scan, toxicity)
+from . import (budget_mix, four_russians, fuzzy_lines, merkle_manifest, mil_quality, multi_index_hash, odd_sketch,
+               order_minhash, piece_viterbi, preference_chat, secret_scan, toxicity)
 from .common import hex_digest, table
 
 
@@ -87,9 +87,16 @@ def op11_merkle_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return four_russians.hard_negatives(vectors.select("vec_id", "embedding", moved.alias("label")), F.col("id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_order_minhash, op2_quality_attention, op3_secret_scan, op4_odd_sketch, op5_preference_chat, op6_budget_mix,
-    op7_piece_viterbi, op8_toxicity, op9_fuzzy_lines, op10_multi_index, op11_merkle_descent)}
+    op7_piece_viterbi, op8_toxicity, op9_fuzzy_lines, op10_multi_index, op11_merkle_descent,
+    op13_four_russians)}
 
 
 def _secret_sql() -> str:
@@ -276,6 +283,23 @@ select doc_id, leaf, subroot, root, sha256(siblings) as proof_sha256, f as folde
 from f{len(folds)}"""
 
 
+_NEGATIVES_SQL = f"""
+with whole as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: cast(floor({four_russians.SCALE} * cast(x as double)) as double)) as q
+  from embeddings where vec_id is not null and label is not null and embedding is not null
+    and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+scored as (select a.vec_id a, b.vec_id b, a.label = b.label as same, cast(list_inner_product(a.q, b.q) as bigint) s
+  from whole a join whole b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+near as (select a, b, s from scored where same
+  qualify row_number() over (partition by a order by s desc, b) <= {four_russians.POSITIVES})
+select p.a as anchor_id, p.b as positive_id,
+  cast(row_number() over (partition by p.a, p.b order by n.s desc, n.b) as int) as rank,
+  n.b as negative_id, p.s as positive_score, n.s as negative_score
+from near p join scored n on n.a = p.a and not n.same
+  and 100 * n.s between {four_russians.LOW} * p.s and {four_russians.HIGH} * p.s
+qualify row_number() over (partition by p.a, p.b order by n.s desc, n.b) <= {four_russians.NEGATIVES}"""
+
+
 ORACLE = {
     "op3_secret_scan": _secret_sql(),
     "op4_odd_sketch": _NEAR_SQL,
@@ -283,4 +307,5 @@ ORACLE = {
     "op6_budget_mix": _mix_sql(),
     "op9_fuzzy_lines": _LINES_SQL,
     "op11_merkle_descent": _merkle_sql(),
+    "op13_four_russians": _NEGATIVES_SQL,
 }
