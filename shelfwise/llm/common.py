@@ -126,3 +126,15 @@ def maybe_in(rows: DataFrame, column: str, bitmaps: DataFrame, bits: int = 26) -
             .where("shiftright(cast(conv(hex(substring(bitmap, cast(_bit div 8 as int) + 1, 1)), 16, 10) as int),"
                    " cast(_bit % 8 as int)) & 1 = 1")
             .select(*keep))
+
+
+def surely_not_in(rows: DataFrame, column: str, bitmaps: DataFrame, bits: int = 26) -> DataFrame:
+    """The other rows: those whose ``column`` isn't among the ids of :func:`bit_filter`, or is null."""
+    keep = rows.columns
+    at = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
+    return (rows.withColumn("_slot", F.bitmap_bucket_number(at)).withColumn("_bit", F.bitmap_bit_position(at))
+            .join(F.broadcast(bitmaps.withColumnRenamed("slot", "_slot")), "_slot", "left")
+            .where("bitmap is null or _bit is null or"
+                   " shiftright(cast(conv(hex(substring(bitmap, cast(_bit div 8 as int) + 1, 1)), 16, 10) as int),"
+                   " cast(_bit % 8 as int)) & 1 = 0")
+            .select(*keep))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (budget_mix, four_russians, fuzzy_lines, merkle_manifest, mil_quality, multi_index_hash, odd_sketch,
+from . import (budget_mix, cover_anchors, four_russians, fuzzy_lines, merkle_manifest, mil_quality, multi_index_hash, odd_sketch,
                order_minhash, piece_viterbi, preference_chat, secret_scan, toxicity)
 from .common import hex_digest, table
 
@@ -87,6 +87,11 @@ def op11_merkle_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_cover_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_anchors.without_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", hex_digest(F.col("text")).alias("kept_sha256"))
+
+
 def op13_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -96,7 +101,7 @@ def op13_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_order_minhash, op2_quality_attention, op3_secret_scan, op4_odd_sketch, op5_preference_chat, op6_budget_mix,
     op7_piece_viterbi, op8_toxicity, op9_fuzzy_lines, op10_multi_index, op11_merkle_descent,
-    op13_four_russians)}
+    op12_cover_anchors, op13_four_russians)}
 
 
 def _secret_sql() -> str:
@@ -283,6 +288,23 @@ select doc_id, leaf, subroot, root, sha256(siblings) as proof_sha256, f as folde
 from f{len(folds)}"""
 
 
+_REPEATS_SQL = rf"""
+with words as (select row_number() over () r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+starts as (select r, doc_id, i, md5(array_to_string(w[i:i + {cover_anchors.WINDOW - 1}], ' ')) k from (
+  select r, doc_id, w, unnest(range(1, len(w) - {cover_anchors.WINDOW - 2})) i from words
+  where len(w) >= {cover_anchors.WINDOW})),
+least as (select k, min(doc_id) m from starts group by k),
+found as (select r, i from starts join least using (k) where m < coalesce(doc_id, {2 ** 63 - 1})),
+each as (select r, unnest(range(1, len(w) + 1)) p, unnest(w) word from words),
+cut as (select e.r, p, word, max(f.i) over (partition by e.r order by p rows between {cover_anchors.WINDOW - 1} preceding
+  and current row) is not null as gone from each e left join found f on f.r = e.r and f.i = e.p),
+per as (select r, count(*) n, count(*) filter (where gone) g, string_agg(word, ' ' order by p) filter (where not gone) t
+  from cut group by r)
+select doc_id, coalesce(n, 0) as n_words, coalesce(g, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from words left join per using (r)"""
+
+
 _NEGATIVES_SQL = f"""
 with whole as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
     list_transform(embedding, lambda x: cast(floor({four_russians.SCALE} * cast(x as double)) as double)) as q
@@ -307,5 +329,6 @@ ORACLE = {
     "op6_budget_mix": _mix_sql(),
     "op9_fuzzy_lines": _LINES_SQL,
     "op11_merkle_descent": _merkle_sql(),
+    "op12_cover_anchors": _REPEATS_SQL,
     "op13_four_russians": _NEGATIVES_SQL,
 }
