@@ -190,6 +190,23 @@ catalog AS (
   FROM raw_clean GROUP BY product_name
 )"""
 
+CLEAN_REPORT = """
+clean_report AS (
+SELECT p.batch_id,
+       cast(count(*) AS bigint) AS raw_rows,
+       cast(count(*) FILTER (WHERE product_id IS NULL OR quantity_sold IS NULL OR unit_price IS NULL
+                             OR isnan(unit_price)) AS bigint) AS null_rows,
+       cast(count(*) FILTER (WHERE NOT (product_id IS NULL OR quantity_sold IS NULL OR unit_price IS NULL
+                             OR isnan(unit_price)) AND NOT (quantity_sold > 0 AND unit_price > 0)) AS bigint)
+         AS invalid_rows,
+       cast(coalesce(max(v.valid_rows), 0) - coalesce(max(c.clean_rows), 0) AS bigint) AS duplicate_rows,
+       cast(coalesce(max(c.clean_rows), 0) AS bigint) AS clean_rows
+FROM pos p
+LEFT JOIN (SELECT batch_id, count(*) AS valid_rows FROM pos_valid GROUP BY batch_id) v USING (batch_id)
+LEFT JOIN (SELECT batch_id, count(*) AS clean_rows FROM pos_dedup GROUP BY batch_id) c USING (batch_id)
+GROUP BY p.batch_id
+)"""
+
 # name -> (cte text, dependencies)
 _CTES = {
     "pos": (POS, []),
@@ -212,6 +229,7 @@ _CTES = {
     "latest_inv": (LATEST_INV, ["inventory"]),
     "raw_clean": (RAW_CLEAN, ["raw_sales"]),
     "catalog": (CATALOG, ["raw_clean"]),
+    "clean_report": (CLEAN_REPORT, ["pos_dedup"]),
 }
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import iso_timestamp, padded_id, parse_timestamp
+from ..plans.materialise import materialise
 from ..plans.ranking import distributed_rank
 
 # Fixed values of the feed format.
@@ -35,7 +36,7 @@ def raw_sales_clean(raw: DataFrame) -> DataFrame:
 def product_catalog(clean: DataFrame) -> DataFrame:
     """One id per distinct product name, P0001.. in order of the name's first row id."""
     first = clean.groupBy("product_name").agg(F.min("row_id").alias("first_row_id"))
-    numbered = distributed_rank(first, [("first_row_id", False)], tiebreak=["product_name"],
+    numbered = distributed_rank(materialise(first, "catalog-names"), [("first_row_id", False)], tiebreak=["product_name"],
                                 method="row_number", out="_n")
     return numbered.select("product_name", padded_id(PRODUCT_PREFIX, "_n").alias("product_id"))
 
@@ -48,10 +49,11 @@ def product_count(clean: DataFrame) -> DataFrame:
 def feed_chunks(clean: DataFrame, catalog: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
     """T7 + T8 + N2: POS records in date order (row id breaks ties), chunk ids from 1.
 
+    The joined rows are written once; their positions need them three times.
     The catalog grows with the data: how to join it is left to the planner and AQE.
     """
     joined = clean.join(catalog, "product_name")
-    positioned = distributed_rank(joined, [("order_date", False), ("row_id", False)],
+    positioned = distributed_rank(materialise(joined, "feed-rows"), [("order_date", False), ("row_id", False)],
                                   method="row_number", out="_pos")
     store = F.col("region").cast("string") if "region" in clean.columns else F.lit(UNKNOWN_STORE)
     return positioned.select(

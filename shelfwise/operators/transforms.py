@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import long_sum, money_sum, revenue_sum
+from ..plans.materialise import materialise
 from ..plans.ranking import distributed_rank
 
 BATCH = "batch_id"
@@ -99,12 +100,14 @@ def newest_inventory(sales_agg: DataFrame, warehouse_clean: DataFrame, batches:
     return stock.filter(F.col(BATCH).isNotNull()).select(BATCH, *[c for c in stock.columns if c != BATCH])
 
 
-def product_ranking(sales_agg: DataFrame) -> DataFrame:
+def product_ranking(sales_agg: DataFrame, once: bool = True) -> DataFrame:
     """W1 (with G3): products ranked by revenue within the batch, RANK() semantics.
 
     Totals are per (product_id, product_name), so one id under two names ranks
     twice. The rank is computed by :func:`distributed_rank`, not by a window
-    that would sort a whole batch in one task.
+    that would sort a whole batch in one task; the totals, which its bounds,
+    counts and rows all read, are computed once and written to the shared folder
+    (``once=False``: the caller holds ``sales_agg`` already, as the stream does).
     """
     bkeys = _batch(sales_agg)
     totals = (
@@ -112,7 +115,7 @@ def product_ranking(sales_agg: DataFrame) -> DataFrame:
         .agg(money_sum("total_revenue").alias("total_revenue"),
              long_sum("units_sold").alias("units_sold"))
     )
-    return distributed_rank(totals, [("total_revenue", True)], group=bkeys,
+    return distributed_rank(materialise(totals, "rank-totals") if once else totals, [("total_revenue", True)], group=bkeys,
                             tiebreak=["product_id", "product_name"], method="rank")
 
 

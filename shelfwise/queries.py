@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import schemas
 from .checks import oracle as O
 from .operators import clean as C
 from .operators import feed as FD
@@ -19,6 +20,7 @@ from .operators import reports as R
 from .operators import transforms as T
 from .session import prepare, work_dir
 from .sinks import tables as K
+from .sinks.log import load_log
 from .sources import files as S
 from .sources import testviews as V
 from .streaming import microbatch as P
@@ -154,20 +156,7 @@ def q_pos_rejects(spark, d):
     return C.pos_rejects(V.pos(spark, d))
 
 
-@register("clean_report", O.with_ctes("""
-SELECT p.batch_id,
-       cast(count(*) AS bigint) AS raw_rows,
-       cast(count(*) FILTER (WHERE product_id IS NULL OR quantity_sold IS NULL OR unit_price IS NULL
-                             OR isnan(unit_price)) AS bigint) AS null_rows,
-       cast(count(*) FILTER (WHERE NOT (product_id IS NULL OR quantity_sold IS NULL OR unit_price IS NULL
-                             OR isnan(unit_price)) AND NOT (quantity_sold > 0 AND unit_price > 0)) AS bigint)
-         AS invalid_rows,
-       cast(coalesce(max(v.valid_rows), 0) - coalesce(max(c.clean_rows), 0) AS bigint) AS duplicate_rows,
-       cast(coalesce(max(c.clean_rows), 0) AS bigint) AS clean_rows
-FROM pos p
-LEFT JOIN (SELECT batch_id, count(*) AS valid_rows FROM pos_valid GROUP BY batch_id) v USING (batch_id)
-LEFT JOIN (SELECT batch_id, count(*) AS clean_rows FROM pos_dedup GROUP BY batch_id) c USING (batch_id)
-GROUP BY p.batch_id""", "pos_dedup"))
+@register("clean_report", O.with_ctes("SELECT * FROM clean_report", "clean_report"))
 def q_clean_report(spark, d):
     """Raw -> rejected by rule -> clean counts per batch."""
     return C.clean_report(V.pos(spark, d))
@@ -501,16 +490,21 @@ def q_stream_pos_resume(spark, d):
     return _read_result(spark, out, "sales_aggregation").select(*sales_agg(spark, d).columns)
 
 
+def _replay(spark, out, files, wh, sup, **kw):
+    """Hand the last file's rows to the loader again, as its micro-batch: the same run, the same epoch."""
+    run, epoch = max((r.run, r.epoch) for r in load_log(spark, out).collect())
+    P.BatchLoader(out, wh, sup, run=run, **kw)(S.pos_batch(spark, files[-1], schemas.POS_BATCHED), epoch)
+
+
 @register("stream_replay", ORACLE["sales_aggregation"])
 def q_stream_replay(spark, d):
-    """H1: the last micro-batch is replayed (commit marker gone); its partitions
-    are rewritten, not appended, so the table still equals the batch query."""
+    """H1: the last micro-batch is replayed; its load is replaced, not
+    appended to, so the table still equals the batch query."""
     root, feed, out, ckpt = _stream_setup(spark, d, "stream-replay")
-    ST.stage_pos_feed(spark, V.pos(spark, d), feed, STREAM_FILES)
+    files = ST.stage_pos_feed(spark, V.pos(spark, d), feed, STREAM_FILES)
     wh, sup = _loaders(spark, d)
     P.run_stream(spark, feed, out, ckpt, wh, sup)
-    ST.forget_last_commit(spark, ckpt)
-    P.run_stream(spark, feed, out, ckpt, wh, sup)
+    _replay(spark, out, files, wh, sup)
     return _read_result(spark, out, "sales_aggregation").select(*sales_agg(spark, d).columns)
 
 
@@ -542,15 +536,167 @@ def q_stream_split_batch(spark, d):
     return _read_result(spark, out, "sales_aggregation").select(*sales_agg(spark, d).columns)
 
 
+DEDUP_DELAY = "31 days"
+
+
+@register("stream_dedup_watermark", ORACLE["stream_dedup"])
+def q_stream_dedup_watermark(spark, d):
+    """H3 with bounded state: newest files first, so most rows come later than the watermark;
+    kept and late ids together are every id, once."""
+    root, feed, out, ckpt = _stream_setup(spark, d, "stream-dedup-watermark")
+    pos = V.pos(spark, d)
+    half = F.col("batch_id") < 40
+    ST.stage_pos_feed(spark, pos.filter(~half), feed, STREAM_FILES // 2, start_ms=1_600_000_000_000)
+    ST.stage_pos_feed(spark, pos.filter(F.coalesce(half, F.lit(True))), feed, STREAM_FILES // 2, start_ms=1_700_000_000_000)
+    P.dedup_stream_within(spark, feed, out, ckpt, DEDUP_DELAY)
+    kept = spark.read.parquet(f"{out}/kept").select("batch_id", "txn_id")
+    return kept.unionByName(S.result_table(spark, out, "late_rows").select("batch_id", "txn_id"))
+
+
+@register("stream_file_batches", ORACLE["sales_aggregation"])
+def q_stream_file_batches(spark, d):
+    """S1 + X9: rows without a batch id, one file a batch, files handed over in no order of
+    theirs; the batch is the number in the file's name."""
+    root, feed, out, ckpt = _stream_setup(spark, d, "stream-file-batches")
+    shuffled = lambda names, key: sorted(names, key=lambda b: (key(b) * 37 % 101, b))
+    ST.stage_batch_files(spark, V.pos(spark, d), feed, order=shuffled)
+    wh, sup = _loaders(spark, d)
+    P.run_stream(spark, feed, out, ckpt, wh, sup, batch_of_file=ST.BATCH_FILE, files_per_trigger=FILES_A_TRIGGER)
+    return _read_result(spark, out, "sales_aggregation").select(*sales_agg(spark, d).columns)
+
+
+FILES_A_TRIGGER = 20
+
+_RESULT_COUNTS = ", ".join(f"cast(sum((SELECT count(*) FROM {cte} x WHERE x.batch_id = c.batch_id)) AS bigint) AS {n}_rows"
+                           for n, cte in zip(P.RESULT_NAMES, ("sales_agg", "inventory", "ranking", "low_stock", "delay_table")))
+
+
+@register("stream_metrics", O.with_ctes(f"""
+SELECT epoch, cast(sum(raw_rows) AS bigint) AS raw_rows, cast(sum(null_rows) AS bigint) AS null_rows,
+  cast(sum(invalid_rows) AS bigint) AS invalid_rows, cast(sum(duplicate_rows) AS bigint) AS duplicate_rows,
+  cast(sum(clean_rows) AS bigint) AS clean_rows, {_RESULT_COUNTS}
+FROM (SELECT *, (row_number() OVER (ORDER BY batch_id) - 1) // {FILES_A_TRIGGER} AS epoch FROM clean_report) c
+GROUP BY epoch""", "sales_agg", "inventory", "ranking", "low_stock", "delay_table",
+    "clean_report"))
+def q_stream_metrics(spark, d):
+    """C9 + G13: counts of each load, observed while it ran: cleaning and the five results."""
+    root, feed, out, ckpt = _stream_setup(spark, d, "stream-metrics")
+    ST.stage_batch_files(spark, V.pos(spark, d), feed)
+    wh, sup = _loaders(spark, d)
+    P.run_stream(spark, feed, out, ckpt, wh, sup, batch_of_file=ST.BATCH_FILE, files_per_trigger=FILES_A_TRIGGER)
+    return P.load_metrics(spark, out).drop("load", "run")
+
+
+@register("stream_inventory_cumulative", ORACLE["inventory_cumulative"])
+def q_stream_inventory_cumulative(spark, d):
+    """H4 in the stream: each epoch adds its units to the totals per product; the last epoch runs twice."""
+    root, feed, out, ckpt = _stream_setup(spark, d, "stream-cumulative")
+    files = ST.stage_pos_feed(spark, V.pos(spark, d), feed, STREAM_FILES)
+    wh, sup = _loaders(spark, d)
+    P.run_stream(spark, feed, out, ckpt, wh, sup, carry=True)
+    _replay(spark, out, files, wh, sup, carry=True)
+    return _read_result(spark, out, "inventory_cumulative").drop("load_id") \
+        .select("batch_id", *[f.name for f in schemas.INVENTORY_CUMULATIVE])
+
+
+def _results_of(spark, d, pos):
+    return P.batch_results(pos, warehouse_clean(spark, d), delays(spark, d))
+
+
+def _two_loads(spark, d, out):
+    """All five results of the feed, loaded in two halves."""
+    pos = V.pos(spark, d)
+    first = F.coalesce(F.col("batch_id") < 40, F.lit(True))
+    for part in (first, ~first):
+        K.load_results(_results_of(spark, d, pos.filter(part)), out)
+
+
+_BY_TABLE = " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) FILTER (WHERE batch_id < 40 OR batch_id IS NULL) AS stopped, count(*) AS replayed "
+    f"FROM {cte}" for n, cte in zip(P.RESULT_NAMES, ("sales_agg", "inventory", "ranking", "low_stock", "delay_table")))
+
+
+@register("stream_atomic", O.with_ctes(_BY_TABLE, "sales_agg", "inventory", "ranking", "low_stock", "delay_table"))
+def q_stream_atomic(spark, d):
+    """K4 + H1: a load stops after two of its five tables are written; readers see none of them.
+    Run again under its name, it is there whole. Rows of each table after either."""
+    out = work_dir(spark, "stream-atomic")
+    pos = V.pos(spark, d)
+    first = F.coalesce(F.col("batch_id") < 40, F.lit(True))
+    K.load_results(_results_of(spark, d, pos.filter(first)), out, K.stream_load("run", 0), "run", 0)
+    results = _results_of(spark, d, pos.filter(~first))
+    broken = results | {"product_ranking": lambda: results["product_ranking"]().withColumn(
+        "rank", F.raise_error(F.lit("stopped")).cast("bigint"))}
+    counts = lambda name: [S.result_table(spark, out, n).agg(F.lit(n).alias("table_name"), F.count("*").alias(name))
+                           for n in P.RESULT_NAMES]
+    try:
+        K.load_results(broken, out, K.stream_load("run", 1), "run", 1, first=P.RESULT_NAMES[:3])
+    except Exception:  # noqa: BLE001  the stop: two tables are written, nothing is committed
+        pass
+    stopped = counts("stopped")
+    K.load_results(results, out, K.stream_load("run", 1), "run", 1)
+    both = [a.join(b, "table_name") for a, b in zip(stopped, counts("replayed"))]
+    found = both[0]
+    for more in both[1:]:
+        found = found.unionByName(more)
+    return found
+
+
+@register("batch_ledger", ORACLE["sales_aggregation"])
+def q_batch_ledger(spark, d):
+    """The feed's files loaded without a stream in three calls, the last with nothing new."""
+    root, feed, out, _ = _stream_setup(spark, d, "batch-ledger")
+    pos = V.pos(spark, d)
+    wh, sup = V.warehouse(spark, d), V.supplier_po(spark, d)
+    first = F.coalesce(F.col("batch_id") < 40, F.lit(True))
+    for k, part in enumerate((first, ~first)):
+        ST.stage_pos_feed(spark, pos.filter(part), feed, STREAM_FILES // 2, start_ms=1_600_000_000_000 + k * 10 ** 11)
+        P.load_new_files(spark, feed, out, wh, sup)
+    if P.load_new_files(spark, feed, out, wh, sup) is not None:
+        raise RuntimeError("a finished file was loaded again")
+    return _read_result(spark, out, "sales_aggregation").select(*sales_agg(spark, d).columns)
+
+
+# ---- G11, G12, L2, L3 on stored tables --------------------------------------------
+
+@register("stored_latest_ranking", ORACLE["latest_ranking"])
+def q_stored_latest_ranking(spark, d):
+    """L2 + G12 over the stored table: the log names the newest batch, and only its partition is read."""
+    out = work_dir(spark, "stored-ranking")
+    _two_loads(spark, d, out)
+    return R.ranking_list(S.latest_result(spark, out, "product_ranking"))
+
+
+@register("stored_latest_delays", ORACLE["latest_delays"])
+def q_stored_latest_delays(spark, d):
+    """L3 + G12 over the stored table."""
+    out = work_dir(spark, "stored-delays")
+    _two_loads(spark, d, out)
+    return R.delay_list(S.latest_result(spark, out, "supplier_delay_alerts"))
+
+
+@register("stored_batch_summary", O.with_ctes("""
+SELECT batch_id, cast(sum(txn_count) AS bigint) AS records_processed,
+       cast(sum(cast(cast(total_revenue AS varchar) AS decimal(28,10))) AS double) AS total_batch_revenue,
+       true AS loaded
+FROM sales_agg GROUP BY batch_id""", "sales_agg"))
+def q_stored_batch_summary(spark, d):
+    """G11 over the stored table: the first load time of a batch is there, and not after now."""
+    out = work_dir(spark, "stored-summary")
+    _two_loads(spark, d, out)
+    summary = R.batch_summary(S.result_table(spark, out, "sales_aggregation"))
+    return summary.withColumn("loaded", F.col("loaded_timestamp") <= F.current_timestamp()).drop("loaded_timestamp")
+
+
 # ---- K1, K2, S6, S7 --------------------------------------------------------------
 
 @register("load_result", ORACLE["sales_aggregation"])
 def q_load_result(spark, d):
-    """K1 + H1: results written per batch partition, written again (a replay), read back."""
+    """K1 + H1: results written per batch partition, written again under the same name (a replay), read back."""
     out = work_dir(spark, "load-result")
     sales = sales_agg(spark, d)
-    K.load_result(sales, out, "sales_aggregation")
-    K.load_result(sales, out, "sales_aggregation")
+    K.load_result(sales, out, "sales_aggregation", load="all")
+    K.load_result(sales, out, "sales_aggregation", load="all")
     return _read_result(spark, out, "sales_aggregation").select(*sales.columns)
 
 
@@ -577,17 +723,22 @@ def q_feed_file_count(spark, d):
     return R.feed_file_count(S.file_listing(spark, f"{root}/pos_sales"))
 
 
-@register("feed_files", _raw(
-    "SELECT concat('feed_batch=', cast(n AS varchar)) AS file_name "
-    "FROM (SELECT DISTINCT (rn - 1) // 700 + 1 AS n FROM (SELECT row_number() OVER (ORDER BY r.order_date, r.row_id) AS rn "
-    "FROM raw_clean r JOIN catalog c USING (product_name)) ORDER BY n DESC LIMIT 10)"))
+@register("feed_files", _raw("""
+SELECT concat('feed_batch=', cast(feed_batch AS varchar)) AS file_name, round(sum(strlen(line) + 1) / 1024.0, 2) AS size_kb
+FROM (SELECT (row_number() OVER (ORDER BY r.order_date, r.row_id) - 1) // 700 + 1 AS feed_batch,
+  concat('{"txn_id":"TXN-', cast(r.row_id AS varchar), '","product_id":"', c.product_id, '","product_name":"', r.product_name,
+    '"', coalesce(concat(',"store_id":"', r.region, '"'), ''), ',"quantity_sold":', cast(r.order_quantity AS varchar),
+    ',"unit_price":', cast(r.unit_price AS varchar), ',"txn_timestamp":"', strftime(r.order_date, '%Y-%m-%dT%H:%M:%S'), '"}')
+    AS line
+  FROM raw_clean r JOIN catalog c USING (product_name))
+GROUP BY feed_batch ORDER BY feed_batch DESC LIMIT 10"""))
 def q_feed_files(spark, d):
-    """S7 + O4 + K5: the prepared feed written as chunk folders, newest 10 files listed."""
+    """S7 + O4 + K5: the prepared feed written as chunk folders, newest 10 files listed with their size in KB."""
     root = work_dir(spark, "feed-files")
     clean = raw_clean(spark, d)
     chunks = FD.feed_chunks(clean, FD.product_catalog(clean))
     FD.write_feed(chunks, f"{root}/pos_sales")
-    return R.feed_files(S.file_listing(spark, f"{root}/pos_sales")).select("file_name")
+    return R.feed_files(S.file_listing(spark, f"{root}/pos_sales"))
 
 
 @register("feed_content", ORACLE["feed_chunks"])

@@ -92,9 +92,31 @@ SUPPLIER_DELAY_ALERTS = StructType([
     StructField("delay_days", IntegerType()),
 ])
 
+INVENTORY_CUMULATIVE = StructType([
+    StructField("product_id", StringType()),
+    StructField("warehouse_stock", IntegerType()),
+    StructField("reorder_threshold", IntegerType()),
+    StructField("units_sold_batch", LongType()),
+    StructField("units_sold_to_date", LongType()),
+    StructField("cumulative_stock", LongType()),
+])
+
+# Kept beside the results: one total per product after each epoch, the files of each load, rows that came too late.
+UNITS_TO_DATE = StructType([
+    StructField("product_id", StringType()),
+    StructField("units_sold_to_date", LongType()),
+])
+
+LOADED_FILES = StructType([
+    StructField("path", StringType()),
+    StructField("length", LongType()),
+    StructField("modificationTime", TimestampType()),
+])
+
 BATCH_FIELDS = [
     StructField("batch_id", IntegerType()),
     StructField("loaded_at", TimestampType()),
+    StructField("load_id", StringType()),
 ]
 
 RESULT_TABLES = {
@@ -105,7 +127,17 @@ RESULT_TABLES = {
     "supplier_delay_alerts": SUPPLIER_DELAY_ALERTS,
 }
 
+KEPT_TABLES = {
+    "inventory_cumulative": INVENTORY_CUMULATIVE,
+    "units_to_date": UNITS_TO_DATE,
+    "loaded_files": LOADED_FILES,
+    "late_rows": POS,
+}
+
+# Kept tables whose rows belong to a load, not to a batch.
+BY_LOAD = ("units_to_date", "loaded_files")
+
 
-def stored(schema: StructType) -> StructType:
-    """Schema of a result table as stored: business columns + batch_id + loaded_at."""
-    return StructType(schema.fields + BATCH_FIELDS)
+def stored(schema: StructType, by_batch: bool = True) -> StructType:
+    """Schema of a table as stored: its columns, batch_id unless ``by_batch`` is false, loaded_at, load_id."""
+    return StructType(schema.fields + [f for f in BATCH_FIELDS if by_batch or f.name != "batch_id"])

@@ -1,19 +1,28 @@
-"""Result-table and JDBC writers (K1-K3, H1).
-
-Result tables are parquet folders partitioned by ``load_id``, then ``batch_id``.
-A streaming load owns the folder of its load id (the epoch) and replaces it as
-a whole, also when its result is empty: a replay rewrites or removes exactly
-what the first attempt wrote, and a batch that spans several loads keeps the
-rows of each. A load without an id goes to load 0 and replaces the batch
-partitions present in the frame (dynamic partition overwrite).
+"""Result-table and JDBC writers (K1-K4, H1).
+
+A result base holds a folder per table and the load log (:mod:`.log`). A table's
+folder holds one folder per attempt of a load, ``load_id=<load>.<attempt>``, with
+the load's batches as partitions below it.
+
+- A load without a name gets one of its own: it only adds rows (K1).
+- A load with a name, as a stream's (run, epoch), replaces what the same load
+  wrote before, also when a result is empty now, and nothing else (H1).
+- All tables of a load become visible with one commit file (K4): a load that
+  stops between two writes leaves every reader with the state before it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from .log import LOG, commit, committed, folders, hadoop_path, load_log
 
 BATCH = "batch_id"
 LOAD = "load_id"
@@ -26,40 +35,104 @@ def stamp(df: DataFrame, batch_id: int | None = None) -> DataFrame:
     return df.withColumn("loaded_at", F.current_timestamp())
 
 
-def load_result(df: DataFrame, base: str, name: str, batch_id: int | None = None,
-                load_id: int | None = None) -> str:
-    """K1 + H1: write one result for one or more batches; returns the table path.
+def stream_load(run: str, epoch: int) -> str:
+    """The name of the load of one epoch of one stream (its checkpoint's id)."""
+    return f"{run}-{epoch:09d}"
+
+
+def _write(df: DataFrame, base: str, name: str, folder: str) -> dict:
+    """Write one table of a load; its entry of the commit record."""
+    spark, counted = df.sparkSession, Observation()
+    by = [BATCH] if BATCH in df.columns else []
+    # rows of a batch go to few files, and a batch that holds most rows is split, by size after the shuffle
+    out = stamp(df).hint("rebalance", *[F.col(c) for c in by]).observe(counted, F.count(F.lit(1)).alias("rows"))
+    out.write.partitionBy(*by).parquet(f"{base}/{name}/{folder}")
+    parts = [f.split("=", 1)[1] for f in folders(spark, f"{base}/{name}/{folder}") if f.startswith(f"{BATCH}=")]
+    return {"folder": folder, "rows": counted.get["rows"], "batches": [int(p) for p in parts if p.lstrip("-").isdigit()]}
+
+
+def load_results(results: Mapping[str, Callable[[], DataFrame]], base: str, load: str | None = None,
+                 run: str | None = None, epoch: int | None = None, first: tuple[str, ...] = (),
+                 metrics: Callable[[], dict[str, int]] = dict, catalog: str | None = None) -> dict:
+    """K1 + K4 + H1: write the results of one load and commit them together; returns the commit record.
+
+    ``results`` maps table names to builders. Those named in ``first`` are written one after the other
+    before the rest, which are independent jobs and run side by side. ``metrics`` is called after the writes.
+    ``catalog`` (a database) registers the load's partitions there as well.
+    """
+    base, load = base.rstrip("/"), load or f"load-{uuid.uuid4().hex}"
+    folder = f"{LOAD}={load}.{uuid.uuid4().hex[:12]}"
+    frames = {n: results[n]() for n in first or tuple(results)[:1]}
+    spark = next(iter(frames.values())).sparkSession
+    tables = {n: _write(df, base, n, folder) for n, df in frames.items()}
+    rest = [n for n in results if n not in tables]
+    # threads inherit the job group, so stopping a stream cancels its writes
+    one = inheritable_thread_target(spark)(lambda n: _write(results[n](), base, n, folder))
+    with ThreadPoolExecutor(max_workers=max(1, len(rest))) as pool:
+        for n, done in [(n, pool.submit(one, n)) for n in rest]:
+            tables[n] = done.result()
+    record = {"load": load, "run": run, "epoch": epoch, "tables": tables, "metrics": metrics()}
+    commit(spark, base, record)
+    if catalog:
+        register_load(spark, base, record, catalog)
+    return record
+
+
+def load_result(df: DataFrame, base: str, name: str, batch_id: int | None = None, load: str | None = None) -> str:
+    """K1 + H1: one result of one or more batches as a load of its own; returns the table path.
 
-    An empty frame leaves no partition (X8), so "latest batch" of the table
-    keeps meaning "latest batch with rows".
+    An empty frame leaves no partition (X8), so "latest batch" of the table keeps meaning "latest batch with rows".
     """
-    path = f"{base.rstrip('/')}/{name}"
-    out = stamp(df, batch_id)
-    cols = [c for c in out.columns if c != BATCH] + [BATCH]
-    # Cluster rows by batch before writing: each task then writes one file per
-    # batch it holds (about tasks + batches files instead of tasks x batches),
-    # and the second range key splits a batch holding most rows over tasks.
-    spread_by = [c for c in cols if c not in (BATCH, "loaded_at")][:1]
-    (out.select(*cols).repartitionByRange(BATCH, *spread_by).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if load_id is None else "static")
-        .partitionBy(BATCH).parquet(f"{path}/{LOAD}={load_id or 0}"))
-    return path
-
-
-def create_result_tables(spark: SparkSession, base: str, database: str | None = None) -> list[str]:
-    """K2: register the five result tables (parquet, partitioned by load_id, batch_id) if absent."""
+    if batch_id is not None:
+        df = df.withColumn(BATCH, F.lit(batch_id).cast("int"))
+    load_results({name: lambda: df}, base, load)
+    return f"{base.rstrip('/')}/{name}"
+
+
+def vacuum(spark: SparkSession, base: str) -> list[str]:
+    """Remove the folders of attempts that no commit names. Not while a load or a reader is at work."""
+    base = base.rstrip("/")
+    live = {f"{n}/{t.folder}" for r in load_log(spark, base).select("tables").collect() for n, t in r.tables.items()}
+    gone = []
+    for table in folders(spark, base):
+        for folder in folders(spark, f"{base}/{table}") if table != LOG else ():
+            if folder.startswith(f"{LOAD}=") and f"{table}/{folder}" not in live:
+                p, fs = hadoop_path(spark, f"{base}/{table}/{folder}")
+                fs.delete(p, True)
+                gone.append(f"{table}/{folder}")
+    return gone
+
+
+def create_result_tables(spark: SparkSession, base: str, database: str = "default") -> list[str]:
+    """K2: the five result tables in the catalog (parquet, partitioned by load_id, batch_id), with all committed loads."""
     created = []
     for name, schema in schemas.RESULT_TABLES.items():
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.stored(schema).fields)
-        qualified = f"{database}.{name}" if database else name
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {qualified} ({cols}, `{LOAD}` int) USING parquet "
-            f"PARTITIONED BY ({LOAD}, {BATCH}) LOCATION '{base.rstrip('/')}/{name}'"
-        )
-        created.append(qualified)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({cols}) USING parquet "
+                  f"PARTITIONED BY ({LOAD}, {BATCH}) LOCATION '{base.rstrip('/')}/{name}'")
+        created.append(f"{database}.{name}")
+    for record in load_log(spark, base).collect():
+        tables = {n: t.asDict() for n, t in record.tables.items()}
+        register_load(spark, base, {"load": record.load, "tables": tables}, database)
     return created
 
 
+def register_load(spark: SparkSession, base: str, record: dict, database: str = "default") -> None:
+    """K2: a committed load's partitions in the catalog, in place of those of its earlier attempts."""
+    for name, table in record["tables"].items():
+        qualified = f"`{database}`.`{name}`"
+        if not spark.catalog.tableExists(f"{database}.{name}"):
+            continue
+        mine = table["folder"].split("=", 1)[1]
+        held = spark.sql(f"SHOW PARTITIONS {qualified}").where(F.startswith("partition", F.lit(f"{LOAD}={record['load']}.")))
+        for old in {r.partition.split("/")[0].split("=", 1)[1] for r in held.collect()} - {mine}:
+            spark.sql(f"ALTER TABLE {qualified} DROP IF EXISTS PARTITION ({LOAD}='{old}')")
+        parts = " ".join(f"PARTITION ({LOAD}='{mine}', {BATCH}={b}) LOCATION "
+                         f"'{base.rstrip('/')}/{name}/{table['folder']}/{BATCH}={b}'" for b in table["batches"])
+        if parts:
+            spark.sql(f"ALTER TABLE {qualified} ADD IF NOT EXISTS {parts}")
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
                properties: dict[str, str] | None = None, num_partitions: int | None = None,
                batch_size: int = 10000) -> None:
@@ -73,3 +146,7 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
     if num_partitions:
         props.setdefault("numPartitions", str(num_partitions))
     df.write.jdbc(url=url, table=table, mode=mode, properties=props)
+
+
+__all__ = ["stamp", "stream_load", "load_results", "load_result", "vacuum", "create_result_tables", "register_load",
+           "write_jdbc", "committed"]

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..sinks.log import committed
 
 RAW_RENAMES = {
     "Row ID": "row_id",
@@ -22,12 +23,23 @@ RAW_RENAMES = {
 
 
 def pos_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 1,
-               schema=schemas.POS) -> DataFrame:
-    """The POS folder as a stream of JSON-lines files."""
+               schema=schemas.POS, batch_of_file: str | None = None) -> DataFrame:
+    """The POS folder as a stream of JSON-lines files.
+
+    ``batch_of_file`` (a regex with one group of digits) takes the batch id from
+    each file's name (X9), so it doesn't depend on when a file came or on which
+    files share a micro-batch; a name that doesn't match gives a null id.
+    """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.json(path)
+    feed = reader.json(path)
+    return feed if batch_of_file is None else feed.withColumn("batch_id", file_batch(batch_of_file))
+
+
+def file_batch(pattern: str) -> F.Column:
+    """The batch id in the name of the file a row comes from."""
+    return F.regexp_extract(F.col("_metadata.file_name"), pattern, 1).try_cast("int")
 
 
 def pos_batch(spark: SparkSession, paths: str | list[str], schema=schemas.POS) -> DataFrame:
@@ -67,27 +79,35 @@ def raw_sales_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1")
     return df.select(*[F.col(f"`{k}`").alias(v) for k, v in RAW_RENAMES.items()])
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when a parquet table folder exists at ``path`` (any file system)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
-
+def result_table(spark: SparkSession, base: str, name: str, load: str | None = None) -> DataFrame:
+    """The committed rows of a stored table; a table never written is an empty frame.
 
-def result_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A stored result table; missing table -> empty frame with the table's schema."""
-    schema = schemas.stored(schemas.RESULT_TABLES[name])
-    full = f"{path.rstrip('/')}/{name}"
-    if not table_exists(spark, full):
+    Same columns either way: the table's own, ``batch_id`` (tables kept by batch), ``loaded_at``, ``load_id``.
+    Only the folders that the load log names are read. ``load`` picks one load by name.
+    """
+    schema = schemas.stored({**schemas.RESULT_TABLES, **schemas.KEPT_TABLES}[name], name not in schemas.BY_LOAD)
+    full = f"{base.rstrip('/')}/{name}"
+    found = [f"{full}/{r.folder}" for r in committed(spark, base, name) if load in (None, r.load)]
+    if not found:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(full)
+    return spark.read.schema(schema).option("basePath", full).parquet(*found).select(*schema.names)
+
+
+def newest_stored_batch(spark: SparkSession, base: str, name: str) -> int | None:
+    """The newest batch of a stored table, from the load log alone."""
+    return max((b for r in committed(spark, base, name) for b in r.batches), default=None)
+
+
+def latest_result(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """The newest batch's rows of a stored table; its partitions are the only ones read."""
+    newest = newest_stored_batch(spark, base, name)
+    return result_table(spark, base, name).where(F.col("batch_id") == F.lit(newest).cast("int"))
 
 
 def file_listing(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    """Path and byte size of every feed file; file contents are not read."""
+    """Path, byte size and modification time of every feed file; file contents are not read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", True).load(path).select("path", "length"))
+            .option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime"))
 
 
 def catalog_ids(warehouse: DataFrame) -> DataFrame:

@@ -2,32 +2,38 @@
 
 POS files stream in; for each micro-batch ``foreachBatch`` cleans the rows
 once (persisted), re-reads the warehouse and supplier tables so edits show up
-(M4), computes the five results and replaces their batch partitions (H1).
-The stream checkpoint records which files were consumed (M2), so a rerun
-handles only new files and a replay of an unfinished batch rewrites the same
-partitions instead of adding rows.
+(M4), computes the five results and commits them together as one load (K4, H1),
+named by the stream's id and the epoch. The stream checkpoint records which
+files were consumed (M2), so a rerun handles only new files, and a replay of an
+unfinished batch replaces that load instead of adding rows. A new checkpoint has
+a new id: its loads are added beside earlier ones, as a plain append would.
 
 Batch identity: when the records carry ``batch_id`` that value is used, so
-results can be matched to the feed whatever order files arrive in (X9);
-otherwise the micro-batch (epoch) id is, as in a plain file feed. A batch may
-come in several files: each micro-batch adds its own results for it, under its
-own load id, as the plain appending loader does.
+results can be matched to the feed whatever order files arrive in (X9); else the
+number in the file's name, where a pattern is given; otherwise the micro-batch
+(epoch) id is, as in a plain file feed. A batch may come in several files: each
+micro-batch adds its own results for it, as the plain appending loader does.
+
+Counts (C9, G13) are observed where the rows pass anyway and are kept in the load
+log: raw, null, invalid, duplicate and clean rows, and the rows of each result.
+Rows that tasks read again after an executor is lost may count twice there;
+``clean.clean_report`` counts exactly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import clean as C
 from ..operators import transforms as T
-from ..sinks.tables import load_result
-from ..sources.files import pos_stream
+from ..plans.dedup import keep_first
+from ..sinks.log import committed, load_log
+from ..sinks.tables import load_results, stream_load
+from ..sources.files import file_listing, pos_batch, pos_stream, result_table
 
 BATCH = "batch_id"
 RESULT_NAMES = ("sales_aggregation", "inventory_status", "product_ranking",
@@ -37,22 +43,24 @@ Loader = Callable[[], DataFrame]
 
 
 def batch_results(pos_batch: DataFrame, warehouse_clean: DataFrame, delay_alerts: DataFrame,
-                  keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, Callable[[], DataFrame]]:
+                  keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+                  cleaned: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, Callable[[], DataFrame]]:
     """Builders of the five results of one (or several) batches (K4 body).
 
     Takes the cleaned warehouse and the supplier delay alerts (see
     :class:`ReferenceCache`); ``keep`` is applied to frames read by more than
-    one result (sales and inventory); the stream passes ``persist``. Builders
-    are returned so that each result can be produced in its own job thread.
+    one result (sales and inventory); the stream passes ``persist``; ``cleaned``
+    to the clean rows. Builders are returned so that each result can be produced
+    in its own job thread.
     """
-    pos_clean = C.clean_pos(pos_batch)
+    pos_clean = cleaned(C.clean_pos(pos_batch))
     sales = keep(T.sales_aggregation(pos_clean))
     batches = T.batch_ids(pos_batch)
     inventory = keep(T.inventory_calculation(sales, warehouse_clean, batches))
     return {
         "sales_aggregation": lambda: sales,
         "inventory_status": lambda: inventory,
-        "product_ranking": lambda: T.product_ranking(sales),
+        "product_ranking": lambda: T.product_ranking(sales, once=False),
         "low_stock_alerts": lambda: T.low_stock_detection(inventory),
         "supplier_delay_alerts": lambda: T.supplier_alerts_per_batch(delay_alerts, batches),
     }
@@ -111,49 +119,88 @@ class ReferenceCache:
         self._held.clear()
 
 
+def carry_over(inventory: DataFrame, before: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+    """H4 kept incrementally: stock carried from ``before`` (product, units_sold_to_date) through this load's batches.
+
+    The load adds its own units to the totals, so each epoch reads one row per
+    product and its own inventory, not the history. Products without stock rows
+    in this load keep their totals.
+    """
+    earlier = before.select("product_id", F.col("units_sold_to_date").alias("_before"))
+    known = F.coalesce("_before", F.lit(0).cast("bigint"))
+
+    def cumulative() -> DataFrame:
+        here = T.inventory_cumulative(inventory)
+        joined = here.join(earlier, "product_id", "left")
+        return joined.withColumn("units_sold_to_date", F.col("units_sold_to_date") + known) \
+            .withColumn("cumulative_stock", F.col("cumulative_stock") - known).select(*here.columns)
+
+    def totals() -> DataFrame:
+        sold = inventory.groupBy("product_id").agg(F.sum("units_sold_batch").alias("_sold"))
+        return sold.join(earlier, "product_id", "full").select(
+            "product_id", (F.coalesce("_sold", F.lit(0).cast("bigint")) + known).alias("units_sold_to_date"))
+
+    return {"inventory_cumulative": cumulative, "units_to_date": totals}
+
+
 class BatchLoader:
-    """The ``foreachBatch`` function: clean once, five results, replace this load's folders."""
+    """The ``foreachBatch`` function: clean once, five results, one commit.
 
-    def __init__(self, out_dir: str, warehouse: Loader, supplier: Loader):
+    ``run`` names the stream; by default its own id, which its checkpoint keeps.
+    ``carry`` also keeps the cumulative inventory (H4). ``catalog`` is passed on to the load.
+    """
+
+    def __init__(self, out_dir: str, warehouse: Loader, supplier: Loader, run: str | None = None,
+                 carry: bool = False, catalog: str | None = None):
         self.out_dir = out_dir
         self.warehouse = warehouse
         self.supplier = supplier
+        self.run = run
+        self.carry = carry
+        self.catalog = catalog
         self.refs = ReferenceCache()
-        self.last_metrics: dict = {}
+
+    def _totals_before(self, spark: SparkSession, run: str, epoch_id: int) -> DataFrame:
+        """The totals after the newest earlier epoch of this stream: the same for every replay of this one."""
+        earlier = [(r.epoch, r.load) for r in committed(spark, self.out_dir, "units_to_date")
+                   if r.run == run and r.epoch < epoch_id]
+        return result_table(spark, self.out_dir, "units_to_date", max(earlier)[1] if earlier else "")
 
     def __call__(self, batch_df: DataFrame, epoch_id: int) -> None:
+        spark = batch_df.sparkSession
         if BATCH not in batch_df.columns:
             batch_df = batch_df.withColumn(BATCH, F.lit(epoch_id).cast("int"))
         # A trigger with no new rows (or a no-data batch) loads nothing.
         if batch_df.isEmpty():
             return
-        obs = Observation(f"pos_batch_{epoch_id}")
+        run = self.run or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        seen, passed = Observation(), Observation()
         held: list[DataFrame] = []
 
         def keep(df: DataFrame) -> DataFrame:
             held.append(df.persist())
             return df
 
-        # Raw and rejected-by-rule counts, gathered by the first job that reads the batch
         raw = keep(batch_df.observe(
-            obs, F.count(F.lit(1)).alias("raw_rows"),
+            seen, F.count(F.lit(1)).alias("raw_rows"),
             F.count_if(C.null_condition()).alias("null_rows"),
             F.count_if(~C.null_condition() & C.invalid_condition()).alias("invalid_rows")))
+
+        def counts() -> dict[str, int]:
+            got = {**seen.get, **passed.get}
+            return got | {"duplicate_rows": got["raw_rows"] - got["null_rows"] - got["invalid_rows"] - got["clean_rows"]}
+
         try:
             wh = self.refs.get("warehouse", self.warehouse(), C.clean_warehouse)
             alerts = self.refs.get("supplier", self.supplier(),
                                    lambda df: T.supplier_delay_detection(C.clean_supplier(df)))
-            results = batch_results(raw, wh, alerts, keep)
-            # The five loads are independent jobs: submit them together so a
-            # small micro-batch keeps every core busy; they inherit the query's
-            # job group, so stopping it cancels them.
-            load = inheritable_thread_target(batch_df.sparkSession)(
-                lambda n: load_result(results[n](), self.out_dir, n, load_id=epoch_id))
-            with ThreadPoolExecutor(max_workers=len(RESULT_NAMES)) as pool:
-                done = [pool.submit(load, name) for name in RESULT_NAMES]
-                for f in done:
-                    f.result()
-            self.last_metrics = {"epoch": epoch_id, **obs.get}
+            results = batch_results(raw, wh, alerts, keep,
+                                    lambda df: df.observe(passed, F.count(F.lit(1)).alias("clean_rows")))
+            if self.carry:
+                results |= carry_over(results["inventory_status"](), self._totals_before(spark, run, epoch_id))
+            # sales first: it fills what the others share, and each row is counted once
+            load_results(results, self.out_dir, stream_load(run, epoch_id), run, epoch_id,
+                         first=("sales_aggregation",), metrics=counts, catalog=self.catalog)
         finally:
             for df in held:
                 df.unpersist()
@@ -161,12 +208,13 @@ class BatchLoader:
 
 def start_stream(spark: SparkSession, pos_dir: str, out_dir: str, checkpoint: str,
                  warehouse: Loader, supplier: Loader, *, with_batch_column: bool = True,
-                 files_per_trigger: int | None = 1, processing_time: str | None = None):
+                 files_per_trigger: int | None = 1, processing_time: str | None = None,
+                 batch_of_file: str | None = None, carry: bool = False, catalog: str | None = None):
     """M1 / M3: start the stream. ``processing_time`` (e.g. "10 seconds") runs it
     continuously; otherwise it drains what is there (availableNow) and stops."""
-    schema = schemas.POS_BATCHED if with_batch_column else schemas.POS
-    stream = pos_stream(spark, pos_dir, files_per_trigger, schema)
-    loader = BatchLoader(out_dir, warehouse, supplier)
+    schema = schemas.POS_BATCHED if with_batch_column and batch_of_file is None else schemas.POS
+    stream = pos_stream(spark, pos_dir, files_per_trigger, schema, batch_of_file)
+    loader = BatchLoader(out_dir, warehouse, supplier, carry=carry, catalog=catalog)
     writer = (stream.writeStream.foreachBatch(loader)
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
@@ -207,3 +255,85 @@ def dedup_stream(spark: SparkSession, pos_dir: str, out_dir: str, checkpoint: st
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+
+
+def dedup_stream_within(spark: SparkSession, pos_dir: str, out_dir: str, checkpoint: str, delay: str = "31 days",
+                        files_per_trigger: int | None = 1) -> list[dict]:
+    """H3 with bounded state: as :func:`dedup_stream`, but ids older than the watermark leave the state.
+
+    Rows come by their transaction time; ``delay`` is how far a row may lie behind
+    the newest one seen. The stream keeps the first row of each id in
+    ``<out_dir>/kept`` and drops rows that come later than that, or without a
+    time. Those aren't lost: after the drain, the ids of the files it read that
+    were never kept go to the table ``late_rows`` of ``out_dir``, one row an id,
+    together with the names of the files, in one load. Kept and late ids together
+    are all ids. Returns the state's figures of every trigger (rows held, rows dropped).
+    """
+    before = file_listing(spark, pos_dir).join(result_table(spark, out_dir, "loaded_files").select("path"), "path",
+                                               "left_anti")
+    before = before.persist()
+    try:
+        paths = [r.path for r in before.select("path").collect()]  # names, as a file source's own log holds
+        valid = lambda df: C.pos_valid(C.pos_drop_nulls(df))
+        timed = C.pos_parse(valid(pos_stream(spark, pos_dir, files_per_trigger, schemas.POS_BATCHED))
+                            .withColumn("_text", F.col("txn_timestamp")))
+        kept = (timed.where("txn_timestamp is not null").withWatermark("txn_timestamp", delay)
+                .dropDuplicatesWithinWatermark(["txn_id"])
+                .withColumn("txn_timestamp", F.col("_text")).drop("_text"))
+        q = (kept.writeStream.format("parquet").option("path", f"{out_dir.rstrip('/')}/kept")
+             .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+        if paths:
+            ids = spark.read.parquet(f"{out_dir.rstrip('/')}/kept").select(F.col("txn_id").alias("_kept"))
+            late = valid(pos_batch(spark, paths, schemas.POS_BATCHED)) \
+                .join(ids, F.col("txn_id").eqNullSafe(F.col("_kept")), "left_anti")
+            older = result_table(spark, out_dir, "late_rows").select(F.col("txn_id").alias("_kept"))
+            late = late.join(older, F.col("txn_id").eqNullSafe(F.col("_kept")), "left_anti")
+            load_results({"late_rows": lambda: keep_first(late, ["txn_id"], [BATCH, *C.POS_ORDER]),
+                          "loaded_files": lambda: before}, out_dir)
+    finally:
+        before.unpersist()
+    return [{"rows": s["numRowsTotal"], "dropped": s["numRowsDroppedByWatermark"]}
+            for p in q.recentProgress for s in p["stateOperators"]]
+
+
+def load_new_files(spark: SparkSession, pos_dir: str, out_dir: str, warehouse: DataFrame, supplier: DataFrame,
+                   schema=schemas.POS_BATCHED) -> dict | None:
+    """N3 without a stream: load the feed files that no load has finished; the commit record, or None if there are none.
+
+    The ledger is the table ``loaded_files``, committed together with the results:
+    a load that stops half-way leaves its files unfinished, and the next call
+    takes them again. A file is known by its path; size and time are kept for
+    :func:`changed_files`.
+    """
+    done = result_table(spark, out_dir, "loaded_files")
+    new = file_listing(spark, pos_dir).join(done.select("path"), "path", "left_anti").persist()
+    raw = None
+    try:
+        paths = [r.path for r in new.select("path").collect()]
+        if not paths:
+            return None
+        raw = pos_batch(spark, paths, schema).persist()
+        results = batch_results(raw, C.clean_warehouse(warehouse),
+                                T.supplier_delay_detection(C.clean_supplier(supplier)))
+        return load_results(results | {"loaded_files": lambda: new}, out_dir)
+    finally:
+        new.unpersist()
+        if raw is not None:
+            raw.unpersist()
+
+
+def changed_files(spark: SparkSession, pos_dir: str, out_dir: str) -> DataFrame:
+    """Feed files that differ in size or time from what was loaded under their path."""
+    done = result_table(spark, out_dir, "loaded_files").select("path", "length", "modificationTime")
+    new = file_listing(spark, pos_dir)
+    return new.join(done.select("path"), "path", "left_semi").join(done, new.columns, "left_anti")
+
+
+def load_metrics(spark: SparkSession, out_dir: str) -> DataFrame:
+    """C9 + G13: one row per committed load: its counts of cleaning, and the rows of the five results."""
+    counts = [F.col("metrics")[c].alias(c) for c in ("raw_rows", "null_rows", "invalid_rows", "duplicate_rows", "clean_rows")]
+    rows = [F.col("tables")[n]["rows"].alias(f"{n}_rows") for n in RESULT_NAMES]
+    return load_log(spark, out_dir).select("load", "run", "epoch", *counts, *rows)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 BATCH = "batch_id"
+#: The batch id in the name of a file of :func:`stage_batch_files`.
+BATCH_FILE = r"^batch-([0-9]+)"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -47,13 +49,24 @@ def stage_pos_feed(spark: SparkSession, pos: DataFrame, folder: str, files: int
     return moved
 
 
-def forget_last_commit(spark: SparkSession, checkpoint: str) -> int | None:
-    """Remove the newest commit marker of a stream checkpoint, as a crash right
-    before the commit would leave it; the next run replays that micro-batch."""
-    jvm, commits, fs = _fs(spark, f"{checkpoint.rstrip('/')}/commits")
-    ids = [int(s.getPath().getName()) for s in fs.listStatus(commits) if s.getPath().getName().isdigit()]
-    if not ids:
-        return None
-    last = max(ids)
-    fs.delete(jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/commits/{last}"), False)
-    return last
+def stage_batch_files(spark: SparkSession, pos: DataFrame, folder: str, start_ms: int = 1_600_000_000_000,
+                      order=sorted) -> list[str]:
+    """Write ``pos`` as one JSON-lines file a batch, ``batch-<id>.json``, without the batch id in the rows.
+
+    Modification times ascend in the ``order`` of the batch ids.
+    """
+    tmp = folder.rstrip("/") + f"_write_{start_ms}"
+    pos.repartition(BATCH).write.mode("overwrite").partitionBy(BATCH).json(tmp)
+    jvm, dst, fs = _fs(spark, folder)
+    fs.mkdirs(dst)
+    jvm_path = jvm.org.apache.hadoop.fs.Path
+    names = {s.getPath().getName().split("=", 1)[1]: s.getPath().toString() for s in fs.listStatus(jvm_path(tmp))
+             if s.isDirectory()}
+    staged = []
+    for i, batch in enumerate(order(names, key=lambda b: int(b) if b.isdigit() else -1)):
+        for part, f in enumerate(list_files(spark, names[batch])):
+            target = jvm_path(f"{folder.rstrip('/')}/batch-{batch}{f'-{part}' if part else ''}.json")
+            fs.rename(jvm_path(f), target)
+            fs.setTimes(target, start_ms + i * 10_000, -1)
+            staged.append(target.toString())
+    return staged
