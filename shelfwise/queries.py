@@ -7,6 +7,7 @@ once. ``ORACLE`` holds the DuckDB SQL for the same answer.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -627,19 +628,17 @@ def q_stream_atomic(spark, d):
     results = _results_of(spark, d, pos.filter(~first))
     broken = results | {"product_ranking": lambda: results["product_ranking"]().withColumn(
         "rank", F.raise_error(F.lit("stopped")).cast("bigint"))}
-    counts = lambda name: [S.result_table(spark, out, n).agg(F.lit(n).alias("table_name"), F.count("*").alias(name))
-                           for n in P.RESULT_NAMES]
+    counts = lambda state: [S.result_table(spark, out, n).agg(F.count("*").alias("n"))
+                            .select(F.lit(n).alias("table_name"), F.lit(state).alias("state"), "n") for n in P.RESULT_NAMES]
     try:
         K.load_results(broken, out, K.stream_load("run", 1), "run", 1, first=P.RESULT_NAMES[:3])
     except Exception:  # noqa: BLE001  the stop: two tables are written, nothing is committed
         pass
-    stopped = counts("stopped")
+    stopped = counts("stopped")  # bound to the folders that are committed now
     K.load_results(results, out, K.stream_load("run", 1), "run", 1)
-    both = [a.join(b, "table_name") for a, b in zip(stopped, counts("replayed"))]
-    found = both[0]
-    for more in both[1:]:
-        found = found.unionByName(more)
-    return found
+    every = functools.reduce(DataFrame.unionByName, stopped + counts("replayed"))
+    of = lambda state: F.max(F.when(F.col("state") == state, F.col("n"))).alias(state)
+    return every.groupBy("table_name").agg(of("stopped"), of("replayed"))
 
 
 @register("batch_ledger", ORACLE["sales_aggregation"])

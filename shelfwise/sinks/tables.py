@@ -125,8 +125,10 @@ def register_load(spark: SparkSession, base: str, record: dict, database: str =
             continue
         mine = table["folder"].split("=", 1)[1]
         held = spark.sql(f"SHOW PARTITIONS {qualified}").where(F.startswith("partition", F.lit(f"{LOAD}={record['load']}.")))
-        for old in {r.partition.split("/")[0].split("=", 1)[1] for r in held.collect()} - {mine}:
-            spark.sql(f"ALTER TABLE {qualified} DROP IF EXISTS PARTITION ({LOAD}='{old}')")
+        for old in [r.partition for r in held.collect() if not r.partition.startswith(f"{LOAD}={mine}/")]:
+            load, batch = (part.split("=", 1)[1] for part in old.split("/"))
+            batch = batch if batch.lstrip("-").isdigit() else "null"
+            spark.sql(f"ALTER TABLE {qualified} DROP IF EXISTS PARTITION ({LOAD}='{load}', {BATCH}={batch})")
         parts = " ".join(f"PARTITION ({LOAD}='{mine}', {BATCH}={b}) LOCATION "
                          f"'{base.rstrip('/')}/{name}/{table['folder']}/{BATCH}={b}'" for b in table["batches"])
         if parts:

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.columns import parse_timestamp
 from ..operators import clean as C
 from ..operators import transforms as T
 from ..plans.dedup import keep_first
@@ -275,11 +276,10 @@ def dedup_stream_within(spark: SparkSession, pos_dir: str, out_dir: str, checkpo
     try:
         paths = [r.path for r in before.select("path").collect()]  # names, as a file source's own log holds
         valid = lambda df: C.pos_valid(C.pos_drop_nulls(df))
-        timed = C.pos_parse(valid(pos_stream(spark, pos_dir, files_per_trigger, schemas.POS_BATCHED))
-                            .withColumn("_text", F.col("txn_timestamp")))
-        kept = (timed.where("txn_timestamp is not null").withWatermark("txn_timestamp", delay)
-                .dropDuplicatesWithinWatermark(["txn_id"])
-                .withColumn("txn_timestamp", F.col("_text")).drop("_text"))
+        timed = valid(pos_stream(spark, pos_dir, files_per_trigger, schemas.POS_BATCHED)) \
+            .withColumn("_event_time", parse_timestamp("txn_timestamp").cast("timestamp"))
+        kept = (timed.where("_event_time is not null").withWatermark("_event_time", delay)
+                .dropDuplicatesWithinWatermark(["txn_id"]).drop("_event_time"))
         q = (kept.writeStream.format("parquet").option("path", f"{out_dir.rstrip('/')}/kept")
              .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
         q.awaitTermination()

@@ -1,0 +1,184 @@
+"""The load log (K1, K2, K4, H1), the ledger (N3), counts (C9, G13), carried stock (H4), bounded state (H3)."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise import schemas
+from shelfwise.operators import reports as R
+from shelfwise.sinks import tables as K
+from shelfwise.sinks.log import load_log
+from shelfwise.sources import files as S
+from shelfwise.streaming import microbatch as P
+from shelfwise.streaming import staging
+
+LOW = "batch_id int, product_id string, current_stock bigint, reorder_threshold int, low_stock_flag boolean"
+
+
+def low(spark, *rows):
+    return spark.createDataFrame([(b, p, 5, 20, True) for b, p in rows], LOW)
+
+
+def products(spark, out, name="low_stock_alerts"):
+    return sorted(r.product_id for r in S.result_table(spark, out, name).collect())
+
+
+def write(folder, name, rows, mtime):
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, name)
+    with open(path, "w") as fh:
+        for r in rows:
+            fh.write(json.dumps(r) + "\n")
+    os.utime(path, (mtime, mtime))
+
+
+def sale(txn, product="P1", qty=1, day="2024-01-01", **more):
+    return {"txn_id": txn, "product_id": product, "product_name": "n", "store_id": "East", "quantity_sold": qty,
+            "unit_price": 2.0, "txn_timestamp": f"{day}T00:00:00"} | more
+
+
+@pytest.fixture(scope="module")
+def refs(spark):
+    wh = spark.createDataFrame([("P1", 100, 20), ("P2", 10, 20)], schemas.WAREHOUSE).cache()
+    sup = spark.createDataFrame([("PO1", "P1", "S1", "2024-01-01", "2024-01-05")], schemas.SUPPLIER).cache()
+    return (lambda: wh), (lambda: sup)
+
+
+def test_unnamed_loads_only_add(spark, tmp_dir):
+    K.load_result(low(spark, (7, "a")), tmp_dir, "low_stock_alerts")
+    K.load_result(low(spark, (7, "b")), tmp_dir, "low_stock_alerts")
+    K.load_results({"low_stock_alerts": lambda: low(spark, (1, "c"))}, tmp_dir, K.stream_load("q", 0), "q", 0)
+    assert products(spark, tmp_dir) == ["a", "b", "c"]
+
+
+def test_a_named_load_replaces_itself_alone(spark, tmp_dir):
+    load = lambda run, epoch, df: K.load_results({"low_stock_alerts": lambda: df}, tmp_dir,
+                                                 K.stream_load(run, epoch), run, epoch)
+    load("q", 0, low(spark, (1, "a"), (2, "b")))
+    load("new-checkpoint", 0, low(spark, (1, "c")))  # restarts at epoch 0 over the same tables
+    load("q", 1, low(spark, (1, "d")))
+    load("q", 0, low(spark, (2, "e")))
+    assert products(spark, tmp_dir) == ["c", "d", "e"]
+    load("q", 0, low(spark).limit(0))
+    assert products(spark, tmp_dir) == ["c", "d"]
+
+
+def test_five_results_or_none(spark, tmp_dir, refs):
+    wh, sup = refs[0](), refs[1]()
+    from shelfwise.operators import clean as C
+    from shelfwise.operators import transforms as T
+    pos = spark.createDataFrame([tuple(sale("t1").values()) + (1,)], schemas.POS_BATCHED)
+    results = P.batch_results(pos, C.clean_warehouse(wh), T.supplier_delay_detection(C.clean_supplier(sup)))
+    stop = F.raise_error(F.lit("stopped")).cast("bigint")
+    for broken in P.RESULT_NAMES:
+        bad = results | {broken: lambda b=broken: results[b]().withColumn(
+            [c for c in results[b]().columns if c != "batch_id"][-1], stop)}
+        with pytest.raises(Exception, match="stopped"):
+            K.load_results(bad, tmp_dir, "q-0", "q", 0, first=P.RESULT_NAMES[:3])
+        assert [S.result_table(spark, tmp_dir, n).count() for n in P.RESULT_NAMES] == [0] * 5
+    K.load_results(results, tmp_dir, "q-0", "q", 0)
+    assert [S.result_table(spark, tmp_dir, n).count() for n in P.RESULT_NAMES] == [1, 2, 1, 1, 1]
+    before = {f for n in P.RESULT_NAMES for f in os.listdir(f"{tmp_dir}/{n}")}
+    assert K.vacuum(spark, tmp_dir) and len(before) > 1
+    assert all(len(os.listdir(f"{tmp_dir}/{n}")) == 1 for n in P.RESULT_NAMES)
+    assert [S.result_table(spark, tmp_dir, n).count() for n in P.RESULT_NAMES] == [1, 2, 1, 1, 1]
+
+
+def test_missing_table_has_the_columns_of_a_written_one(spark, tmp_dir):
+    K.load_result(low(spark, (1, "a")), tmp_dir, "low_stock_alerts")
+    there, absent = (S.result_table(spark, d, "low_stock_alerts") for d in (tmp_dir, tmp_dir + "-none"))
+    assert there.schema == absent.schema and there.unionByName(absent).count() == 1
+
+
+def test_newest_batch_comes_from_the_log_and_prunes(spark, tmp_dir):
+    K.load_result(low(spark, (3, "a"), (12, "b")), tmp_dir, "low_stock_alerts")
+    K.load_result(low(spark, (4, "c")), tmp_dir, "low_stock_alerts")
+    q = S.latest_result(spark, tmp_dir, "low_stock_alerts")
+    assert [r.product_id for r in q.collect()] == ["b"]
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan
+    assert S.newest_stored_batch(spark, tmp_dir + "-none", "low_stock_alerts") is None
+    assert S.latest_result(spark, tmp_dir + "-none", "low_stock_alerts").count() == 0
+    assert R.batch_summary(S.result_table(spark, tmp_dir, "sales_aggregation")).count() == 0
+
+
+def test_catalog_shows_loads_at_once(spark, tmp_dir):
+    spark.sql("CREATE DATABASE IF NOT EXISTS loads_test")
+    try:
+        assert not spark.catalog.tableExists("loads_test.low_stock_alerts")
+        K.load_result(low(spark, (1, "a")), tmp_dir, "low_stock_alerts")  # before the tables are there
+        K.create_result_tables(spark, tmp_dir, "loads_test")
+        table = lambda: sorted((r.product_id, r.batch_id) for r in
+                               spark.table("loads_test.low_stock_alerts").select("product_id", "batch_id").collect())
+        assert spark.catalog.tableExists("loads_test.low_stock_alerts") and table() == [("a", 1)]
+        load = lambda *rows: K.load_results({"low_stock_alerts": lambda: low(spark, *rows)}, tmp_dir, "q-1", "q", 1,
+                                            catalog="loads_test")
+        load((2, "b"), (3, "c"))
+        assert table() == [("a", 1), ("b", 2), ("c", 3)]
+        load((2, "d"))
+        assert table() == [("a", 1), ("d", 2)]
+    finally:
+        spark.sql("DROP DATABASE loads_test CASCADE")
+
+
+def test_ledger_loads_each_file_once(spark, tmp_dir, refs):
+    feed, out = os.path.join(tmp_dir, "feed"), os.path.join(tmp_dir, "out")
+    wh, sup = refs[0](), refs[1]()
+    units = lambda: S.result_table(spark, out, "sales_aggregation").agg(F.sum("units_sold")).first()[0]
+    write(feed, "a.json", [sale("t1", batch_id=1)], 1_600_000_000)
+    assert P.load_new_files(spark, feed, out, wh, sup)["tables"]["loaded_files"]["rows"] == 1
+    assert P.load_new_files(spark, feed, out, wh, sup) is None and units() == 1
+    write(feed, "b.json", [sale("t2", qty=4, batch_id=2)], 1_600_000_100)
+    P.load_new_files(spark, feed, out, wh, sup)
+    assert units() == 5 and P.changed_files(spark, feed, out).count() == 0
+    write(feed, "a.json", [sale("t1", qty=9, batch_id=1)], 1_600_000_900)
+    assert P.load_new_files(spark, feed, out, wh, sup) is None and units() == 5
+    assert [os.path.basename(r.path) for r in P.changed_files(spark, feed, out).collect()] == ["a.json"]
+
+
+def test_counts_of_a_load(spark, tmp_dir, refs):
+    feed, out = os.path.join(tmp_dir, "feed"), os.path.join(tmp_dir, "out")
+    write(feed, "batch-3.json", [sale("t1"), sale("t1"), sale("t2", qty=-1), sale("t3", qty=None), sale("t4", "P2")],
+          1_600_000_000)
+    P.run_stream(spark, feed, out, os.path.join(tmp_dir, "ckpt"), *refs, batch_of_file=staging.BATCH_FILE)
+    r = P.load_metrics(spark, out).drop("load", "run").collect()
+    assert [tuple(x) for x in r] == [(0, 5, 1, 1, 1, 2, 2, 2, 2, 1, 1)]
+    assert [x.batch_id for x in S.result_table(spark, out, "sales_aggregation").select("batch_id").distinct().collect()] == [3]
+    assert load_log(spark, out).first().run
+
+
+def test_carried_stock_and_replay(spark, tmp_dir, refs):
+    loader = P.BatchLoader(tmp_dir, *refs, run="q", carry=True)
+    frame = lambda *rows: spark.createDataFrame([tuple(r.values()) for r in rows], schemas.POS_BATCHED)
+    loader(frame(sale("t1", qty=5, batch_id=1), sale("t2", "P2", qty=1, batch_id=1)), 0)
+    loader(frame(sale("t3", qty=7, batch_id=2)), 1)
+    loader(frame(sale("t4", qty=7, batch_id=2)), 1)  # replayed
+    loader(frame(sale("t5", "P2", qty=2, batch_id=3), sale("t6", qty=1, batch_id=4)), 2)
+    loader.refs.clear()
+    got = {(r.batch_id, r.product_id): (r.units_sold_to_date, r.cumulative_stock)
+           for r in S.result_table(spark, tmp_dir, "inventory_cumulative").collect()}
+    assert got == {(1, "P1"): (5, 95), (1, "P2"): (1, 9), (2, "P1"): (12, 88), (2, "P2"): (1, 9),
+                   (3, "P1"): (12, 88), (3, "P2"): (3, 7), (4, "P1"): (13, 87), (4, "P2"): (3, 7)}
+
+
+def test_bounded_dedup_loses_nothing_and_forgets(spark, tmp_dir):
+    feed, out, ckpt = (os.path.join(tmp_dir, x) for x in ("feed", "out", "ckpt"))
+    for i, day in enumerate(["2024-01-01", "2024-01-05", "2024-03-01", "2024-03-02", "2024-03-03"]):
+        write(feed, f"f{i}.json", [sale(f"t{i}-{k}", day=day, batch_id=i) for k in range(20 if i < 2 else 2)]
+              + [sale("t0-0", day=day, batch_id=i)], 1_600_000_000 + i * 100)
+    write(feed, "f9.json", [sale("late", day="2023-06-01", batch_id=9), sale("late", day="2023-06-01", batch_id=9),
+                            sale("no-time", day="soon", batch_id=9), sale("t4-0", day="2024-03-03", batch_id=9)], 1_600_009_000)
+    states = P.dedup_stream_within(spark, feed, out, ckpt, "10 days")
+    kept = sorted(r.txn_id for r in spark.read.parquet(f"{out}/kept").collect())
+    late = sorted(r.txn_id for r in S.result_table(spark, out, "late_rows").collect())
+    assert late == ["late", "no-time"] and "t4-0" in kept
+    assert set(kept) == {f"t{i}-{k}" for i in range(5) for k in range(20 if i < 2 else 2)}
+    held = [s["rows"] for s in states]
+    assert max(held) > held[-1] and sum(s["dropped"] for s in states) >= 2
+    # a second drain: a new late file is found, nothing comes twice
+    write(feed, "g.json", [sale("later", day="2023-01-01", batch_id=10), sale("late", day="2023-01-01", batch_id=10)],
+          1_600_010_000)
+    P.dedup_stream_within(spark, feed, out, ckpt, "10 days")
+    assert sorted(r.txn_id for r in S.result_table(spark, out, "late_rows").collect()) == ["late", "later", "no-time"]

@@ -10,7 +10,7 @@ from shelfwise.sources import testviews as V
 
 from conftest import SF_CHECK, SF_SMALL
 
-STREAMING = {"stream_split_batch", "stream_pos_sales", "stream_inventory", "stream_pos_resume", "stream_replay", "stream_dedup"}
+STREAMING = {n for n in QUERIES if n.startswith(("stream_", "stored_", "batch_ledger"))}
 
 
 def test_entry_smoke(spark):

@@ -6,12 +6,20 @@ import os
 from pyspark.sql import functions as F
 
 from shelfwise import schemas
-from shelfwise.sinks.tables import load_result
 from shelfwise.streaming import staging
 from shelfwise.sources.files import result_table
 from shelfwise.streaming import microbatch as P
 
 
+def forget_last_commit(checkpoint):
+    """Remove the newest commit marker of a stream checkpoint, as a crash right
+    before the commit would leave it; the next run replays that micro-batch."""
+    last = max(int(f) for f in os.listdir(f"{checkpoint}/commits") if f.isdigit())
+    for name in (str(last), f".{last}.crc"):
+        if os.path.exists(f"{checkpoint}/commits/{name}"):
+            os.unlink(f"{checkpoint}/commits/{name}")
+
+
 def _write(folder, name, rows, mtime):
     os.makedirs(folder, exist_ok=True)
     path = os.path.join(folder, name)
@@ -74,7 +82,7 @@ def test_new_files_only_and_replay(spark, tmp_dir):
     P.run_stream(spark, feed, out, ckpt, wh, sup)
     _write(feed, "b.json", [_row("t2", 2, qty=3)], 1_600_000_100)
     P.run_stream(spark, feed, out, ckpt, wh, sup)
-    assert staging.forget_last_commit(spark, ckpt) is not None
+    forget_last_commit(ckpt)
     P.run_stream(spark, feed, out, ckpt, wh, sup)  # replays batch 2
     got = sorted((r.batch_id, r.units_sold) for r in result_table(spark, out, "sales_aggregation").collect())
     assert got == [(1, 1), (2, 3)]
@@ -95,32 +103,11 @@ def test_epoch_id_when_no_batch_column_and_empty_batch(spark, tmp_dir):
     assert got == [(0, 2)]
 
 
-def test_load_result_overwrites_own_batches_only(spark, tmp_dir):
-    df1 = spark.createDataFrame([(1, "P1", 5), (2, "P1", 6)], "batch_id int, product_id string, v int")
-    load_result(df1, tmp_dir, "t")
-    load_result(spark.createDataFrame([(2, "P1", 7)], "batch_id int, product_id string, v int"), tmp_dir, "t")
-    got = sorted((r.batch_id, r.v) for r in spark.read.parquet(f"{tmp_dir}/t").collect())
-    assert got == [(1, 5), (2, 7)]
-    assert "loaded_at" in spark.read.parquet(f"{tmp_dir}/t").columns
-
-
 def test_missing_result_table_is_empty(spark, tmp_dir):
     df = result_table(spark, tmp_dir, "product_ranking")
     assert df.count() == 0 and "rank" in df.columns and "batch_id" in df.columns
 
 
-def test_latest_batch_prunes_partitions(spark, tmp_dir):
-    from shelfwise.operators.reports import latest_ranking
-    rows = [(b, f"P{b}", "n", 1.0, 1, 1) for b in range(5)]
-    df = spark.createDataFrame(rows, "batch_id int, product_id string, product_name string, "
-                                     "total_revenue double, units_sold bigint, rank bigint")
-    load_result(df, tmp_dir, "product_ranking")
-    q = latest_ranking(result_table(spark, tmp_dir, "product_ranking"))
-    assert [r.product_id for r in q.collect()] == ["P4"]
-    plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(batch_id" in plan
-
-
 def test_m3_processing_time_trigger(spark, tmp_dir):
     feed, out, ckpt = (os.path.join(tmp_dir, x) for x in ("feed", "out", "ckpt"))
     _write(feed, "a.json", [_row("t1", 1, qty=2)], 1_600_000_000)
@@ -134,22 +121,6 @@ def test_m3_processing_time_trigger(spark, tmp_dir):
     assert got == [(1, 2)]
 
 
-def test_k2_create_result_tables(spark, tmp_dir):
-    from shelfwise.sinks.tables import create_result_tables
-    names = create_result_tables(spark, tmp_dir)
-    assert len(names) == 5
-    load_result(spark.createDataFrame([(3, "P1", 5, 20, True)],
-                                      "batch_id int, product_id string, current_stock bigint, "
-                                      "reorder_threshold int, low_stock_flag boolean"),
-                tmp_dir, "low_stock_alerts")
-    spark.sql("REFRESH TABLE low_stock_alerts")
-    spark.sql("MSCK REPAIR TABLE low_stock_alerts")
-    rows = spark.sql("SELECT product_id, batch_id FROM low_stock_alerts").collect()
-    assert [(r.product_id, r.batch_id) for r in rows] == [("P1", 3)]
-    for n in names:
-        spark.sql(f"DROP TABLE IF EXISTS {n}")
-
-
 def test_s3_supplier_multiline_json(spark, tmp_dir):
     from shelfwise.sources.files import supplier_json
     path = os.path.join(tmp_dir, "supplier_updates.json")
@@ -162,17 +133,6 @@ def test_s3_supplier_multiline_json(spark, tmp_dir):
     assert sorted(r.po_id for r in rows) == ["PO-1", "PO-2"]
 
 
-def test_c9_observed_counts(spark, tmp_dir):
-    feed, out, ckpt = (os.path.join(tmp_dir, x) for x in ("feed", "out", "ckpt"))
-    _write(feed, "a.json", [_row("t1", 1), _row("t1", 1), _row("t2", 1, qty=-1), _row("t3", 1, qty=None)],
-           1_600_000_000)
-    wh, sup = _refs(spark)
-    q = P.start_stream(spark, feed, out, ckpt, wh, sup)
-    q.awaitTermination()
-    m = q._shelfwise_loader.last_metrics
-    assert (m["raw_rows"], m["null_rows"], m["invalid_rows"]) == (4, 1, 1)
-
-
 def test_reference_cache_sees_edits(spark, tmp_dir):
     from shelfwise.operators import clean as C
     from shelfwise.sources.files import warehouse_csv
@@ -217,17 +177,6 @@ def test_batch_in_two_files_keeps_both_loads(spark, tmp_dir):
     assert sorted(got) == [6, 9.0]
 
 
-def test_replay_that_turns_empty_removes_old_rows(spark, tmp_dir):
-    rows = spark.createDataFrame([(7, "P1", 5, 20, True)], "batch_id int, product_id string, current_stock bigint, "
-                                                           "reorder_threshold int, low_stock_flag boolean")
-    load_result(rows, tmp_dir, "low_stock_alerts", load_id=3)
-    load_result(rows, tmp_dir, "low_stock_alerts", load_id=4)
-    load_result(rows.limit(0), tmp_dir, "low_stock_alerts", load_id=3)
-    assert result_table(spark, tmp_dir, "low_stock_alerts").count() == 1
-    load_result(rows.limit(0), tmp_dir, "low_stock_alerts", load_id=4)
-    assert result_table(spark, tmp_dir, "low_stock_alerts").count() == 0
-
-
 def test_dedup_keeps_late_rows(spark, tmp_dir):
     feed, kept, ckpt = (os.path.join(tmp_dir, x) for x in ("feed", "kept", "ckpt"))
     _feed(spark, feed, [_pos("a", "P1", 1, 1.0, "2024-12-01T00:00:00")], 1_600_000_000_000)
