@@ -26,8 +26,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the one with the smallest id, of each group of near copies."""
-    return mil_quality.filter_by(docs, lambda d: odd_sketch.near_duplicates(d).where("kept").select("id"))
+    """Keeps one document, the one with the smallest id, of each group of near copies.
+
+    Rows that share an id stand or fall together; of those with the same text too, one stays.
+    """
+    kept = mil_quality.filter_by(docs, lambda d: odd_sketch.near_duplicates(d).where("kept").select("id"))
+    twice = docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_id"))
+    again = F.col("doc_id").eqNullSafe(F.col("_id"))
+    marked = scratch(kept.join(twice, again, "left").withColumn("_twice", F.col("_id").isNotNull() | F.col("doc_id").isNull()),
+                     "pipeline-kept").drop("_id")
+    once = marked.where("not _twice").drop("_twice")
+    return once.unionByName(marked.where("_twice").drop("_twice").dropDuplicates(["doc_id", "text"]))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

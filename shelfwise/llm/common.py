@@ -38,14 +38,16 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int,
 
     The labelled ids with the smallest hashes, so the choice doesn't depend on
     the order of the rows. Labels of one id are averaged and rounded; null ids
-    and labels don't count. The list of chosen ids is bounded by ``rows`` and is
+    and labels don't count. Of texts that share an id the smallest counts, so
+    there is one row an id. The list of chosen ids is bounded by ``rows`` and is
     therefore broadcast; the texts stay distributed.
     """
     chosen = (labels.select(F.col(id_col).alias("id"), F.col(label).cast("double").alias("label"))
               .where(F.col("id").isNotNull() & F.col("label").isNotNull() & ~is_held_out(F.col("id")))
               .groupBy("id").agg(F.round(F.avg("label")).alias("label"))
               .withColumn("_h", F.xxhash64("id")).orderBy("_h", "id").limit(rows).select("id", "label"))
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    return found.groupBy("id", "label").agg(F.min("text").alias("text")).select("id", "text", "label")
 
 
 def hex_digest(text: Column) -> Column:

@@ -9,9 +9,8 @@ representation is scored. Only documents carry labels; the attention learns
 which passages matter.
 
 The network is fitted with numpy on the driver, on a bounded sample:
-``TRAIN_ROWS`` labelled documents, at most ``TRAIN_PASSAGES`` evenly spaced
-passages of each (scoring reads every passage). Encoding, for the sample and
-for all documents, runs in Arrow batches on the executors.
+``TRAIN_ROWS`` labelled documents, with every passage of each. Encoding, for the
+sample and for all documents, runs in Arrow batches on the executors.
 
 Defined cases: a null, empty or blank text is one passage without words. With
 no usable label every score is 0.5; with one class only, its share.
@@ -28,7 +27,6 @@ from .common import is_held_out, training_sample
 
 PASSAGE = 64
 TRAIN_ROWS = 4000
-TRAIN_PASSAGES = 48
 HIDDEN = 24
 ATTENTION = 12
 EPOCHS = 60
@@ -38,6 +36,7 @@ DECAY = 1e-4
 THRESHOLD = 0.3
 SEED = 11
 _CLASSES = 8
+ROWS_AT_ONCE = 1000
 
 
 def _class_table() -> np.ndarray:
@@ -53,7 +52,7 @@ def _class_table() -> np.ndarray:
 FEATURES = _CLASSES * _CLASSES + 8
 
 
-def encode(text: str | None, table: np.ndarray, most: int | None = None) -> np.ndarray:
+def encode(text: str | None, table: np.ndarray) -> np.ndarray:
     """One row of ``FEATURES`` numbers for each passage of ``text``."""
     words = (text or "").split()
     if not words:
@@ -93,8 +92,6 @@ def encode(text: str | None, table: np.ndarray, most: int | None = None) -> np.n
     out = np.concatenate([pairs / chars, np.stack([
         same.sum(1) / size, longest / size, adjacent / size, mean / 10, spread / 10,
         np.maximum.reduceat(lengths, at) / 20, np.log1p(size) / 4, np.full(passages, np.log1p(n) / 8)], axis=1)], axis=1)
-    if most is not None and passages > most:
-        out = out[np.linspace(0, passages - 1, most).astype(np.int64)]
     return out.astype(np.float32)
 
 
@@ -176,12 +173,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
 
     def run(batches):
         for batch in batches:
-            encoded = [encode(t.as_py(), table, TRAIN_PASSAGES).ravel() for t in batch.column(1)]
+            encoded = [encode(t.as_py(), table).ravel() for t in batch.column(1)]
             yield pa.record_batch([batch.column(0).cast(pa.string()), pa.array(encoded, pa.list_(pa.float32())),
                                    batch.column(2)], names=["id", "x", "label"])
 
     found = (training_sample(docs, labels, label, rows).mapInArrow(run, "id string, x array<float>, label double")
-             .limit(4 * rows).toArrow())  # ids that repeat in the documents count again, up to four times the bound
+             .toArrow())
     order = sorted(range(found.num_rows), key=lambda i: (found["id"][i].as_py(), found["x"][i].as_py()[:FEATURES]))
     bags = [np.array(found["x"][i].values.to_numpy(zero_copy_only=False), np.float64).reshape(-1, FEATURES)
             for i in order]
@@ -189,6 +186,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
     return GatedAttention().fit(bags, target)
 
 
+def _scores(model: GatedAttention, texts: pa.Array) -> pa.Array:
+    table, scores, bags, held = _class_table(), [], [], 0
+    for text in texts:
+        bags.append(encode(text.as_py(), table))
+        held += len(bags[-1])
+        if held > 20_000:  # passages in memory at once
+            scores.append(model.score(bags))
+            bags, held = [], 0
+    scores.append(model.score(bags))
+    return pa.array(np.concatenate(scores), pa.float64())
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id",
                    text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(id, held_out, score, predicted) of every row of ``docs``."""
@@ -197,28 +206,33 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", i
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        table = _class_table()
         for batch in batches:
-            scores = []
-            bags, held = [], 0
-            for text in batch.column(1):
-                bags.append(encode(text.as_py(), table))
-                held += len(bags[-1])
-                if held > 20_000:  # passages in memory at once
-                    scores.append(model.score(bags))
-                    bags, held = [], 0
-            scores.append(model.score(bags))
-            yield pa.record_batch([batch.column(0), pa.array(np.concatenate(scores), pa.float64())],
-                                  names=["id", "score"])
+            yield pa.record_batch([batch.column(0), _scores(model, batch.column(1))], names=["id", "score"])
 
     return (named.mapInArrow(run, f"id {kind}, score double")
             .select("id", F.coalesce(is_held_out(F.col("id")), F.lit(False)).alias("held_out"), "score",
                     (F.col("score") >= threshold).cast("int").alias("predicted")))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows that the classifier rejects; all columns stay."""
-    return filter_by(docs, lambda d: quality_scores(d, labels, **options).where("predicted = 1").select("id"))
+def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id",
+              text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows that the classifier rejects; all columns stay.
+
+    Every row is kept or dropped by its own text, in the pass that scores it, so
+    rows that share an id may differ and nothing is shuffled.
+    """
+    model = train(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")),
+                  labels.withColumnRenamed(id_col, "doc_id") if id_col != "doc_id" else labels, label)
+    named = {c: f"_in_{i}" for i, c in enumerate(docs.columns)}
+    inner = docs.select([F.col(f"`{c}`").alias(n) for c, n in named.items()])
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
+            good = np.asarray(_scores(model, batch.column(at))) >= threshold
+            yield batch.filter(pa.array(good))
+
+    return inner.mapInArrow(run, inner.schema).select([F.col(n).alias(c) for c, n in named.items()])
 
 
 def filter_by(docs: DataFrame, keep, id_col: str = "doc_id") -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 0x2581
 LONGEST = 16
-CODES_AT_ONCE = 2_500_000
+CODES_AT_ONCE = 600_000
 ROWS_AT_ONCE = 750
 _LEADING_BITS = 20
 _REMEMBERED_BITS = 20

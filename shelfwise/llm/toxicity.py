@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 from .common import is_held_out, scratch, training_sample
 
 TRAIN_ROWS = 6000
-ENTRIES = 400
 EDITS = 1
 SHORTEST_FUZZY = 5
 SHORTEST_GUARDED = 4
@@ -215,7 +214,7 @@ def features(n: int, words: list[str], places: np.ndarray, kinds: np.ndarray, wi
 
 
 def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool]]:
-    """Words and stems that mark toxic documents, at most ``ENTRIES``, from (text, label)."""
+    """Words and stems that mark toxic documents, from (text, label): all that pass the test below."""
 
     def run(batches):
         for batch in batches:
@@ -250,7 +249,7 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool]]:
     found = (counts.withColumn("odds", (F.col("t") + 0.5) / (toxic + 1) / ((F.col("c") + 0.5) / (clean + 1)))
              .where((F.col("odds") >= ODDS) & (surprise >= least))
              .where(f"not stem or (words >= {STEM_WORDS} and t >= 1.5 * most)")
-             .orderBy(F.col("odds").desc(), "term", "stem").limit(4 * ENTRIES).collect()) if clean else []
+             .orderBy(F.col("odds").desc(), "term", "stem").collect()) if clean else []
     stems = {r["term"]: r["t"] for r in found if r["stem"]}
     # of a chain of stems, the longest that still holds nine tenths of the shortest one's hits
     chosen: dict[str, str] = {}
@@ -260,12 +259,12 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool]]:
             chosen[root] = stem
     kept = set(chosen.values())
     words = [r["term"] for r in found if not r["stem"] and not any(r["term"].startswith(s) for s in kept)]
-    entries = ([(s, True) for s in sorted(kept)] + [(w, False) for w in words])[:ENTRIES]
+    entries = ([(s, True) for s in sorted(kept)] + [(w, False) for w in words])
     # a stem's words are evidence by their stem; entries of their own, they are found misspelled too
     begin = [F.col("term").startswith(s) for s, stem in entries if stem]
     inside = (counts.where(~F.col("stem") & reduce(or_, begin))
               .where((F.col("t") + 0.5) / (toxic + 1) >= ODDS * (F.col("c") + 0.5) / (clean + 1))
-              .orderBy(F.col("t").desc(), "term").limit(ENTRIES).collect()) if begin else []
+              .orderBy(F.col("t").desc(), "term").collect()) if begin else []
     return entries + [(r["term"], False) for r in inside]
 
 
@@ -308,7 +307,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
             yield pa.record_batch([pa.array(found, pa.list_(pa.float64())), batch.column(1)], names=["x", "label"])
 
     got = sample.select("text", "label").mapInArrow(run, "x array<double>, label double") \
-        .limit(4 * rows).toPandas().sort_values(["label", "x"], key=lambda c: c.map(str))
+        .toPandas().sort_values(["label", "x"], key=lambda c: c.map(str))
     x = np.array(got["x"].tolist(), np.float64).reshape(-1, FEATURES)
     return automaton, fit_weights(x, got["label"].to_numpy(np.float64))
 
