@@ -97,3 +97,10 @@ def test_no_forced_broadcast(spark):
             assert "BroadcastHashJoin" not in _plan(entry.queries()[name](spark, SF_SMALL))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_rank_reads_the_feed_once(spark):
+    """The totals are written once; bounds, counts and rows read that, and nothing scans the feed again."""
+    df = entry.queries()["product_ranking"](spark, SF_SMALL)
+    assert "lineitem.parquet" not in _plan(df)
+    assert df.inputFiles() and all("/rank-totals-" in f for f in df.inputFiles())

@@ -53,3 +53,14 @@ def test_no_batch_no_delays(spark, monkeypatch, name):
     pos = V.pos
     monkeypatch.setattr(V, "pos", lambda *a: pos(*a).limit(0))
     assert QUERIES[name](spark, SF_SMALL).count() == 0
+
+
+def test_entry_without_a_package_of_the_text_operators():
+    """The retail queries stay when something that only the text operators need can't be imported."""
+    import os
+    import subprocess
+    import sys
+
+    code = ("import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; q = e.queries();"
+            " assert 'sales_aggregation' in q and 'pipeline' not in q; assert set(e.oracle_sql()) <= set(q)")
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(entry.__file__))
