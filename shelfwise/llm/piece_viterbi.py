@@ -36,7 +36,9 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 0x2581
 LONGEST = 16
-CODES_AT_ONCE = 600_000
+CODES_AT_ONCE = 2_500_000
+#: For a stage beside others: less memory, but words are shared among fewer texts.
+CODES_IN_A_STAGE = 600_000
 ROWS_AT_ONCE = 750
 _LEADING_BITS = 20
 _REMEMBERED_BITS = 20
@@ -300,8 +302,9 @@ class Encoder:
             ids[place] = self.v.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
         return ids, np.bincount(owner, minlength=len(starts))
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+    def encode(self, texts: list[str | None], codes_at_once: int | None = None) -> list[np.ndarray]:
         """The ids of each text."""
+        most = codes_at_once or CODES_AT_ONCE
         parts, owner = [], []
         for i, text in enumerate(texts):
             if text:
@@ -309,7 +312,7 @@ class Encoder:
                 codes[codes == 32] = SPACE
                 at = 0
                 while at < len(codes):  # a very long text goes on in parts, cut before a space after another code point
-                    end = min(len(codes), at + CODES_AT_ONCE)
+                    end = min(len(codes), at + most)
                     if end < len(codes):
                         edges = np.flatnonzero((codes[at + 1: end] == SPACE) & (codes[at: end - 1] != SPACE))
                         while not len(edges) and end < len(codes):
@@ -323,7 +326,7 @@ class Encoder:
         i = 0
         while i < len(parts):
             j, held = i, 0
-            while j < len(parts) and (j == i or held + len(parts[j]) <= CODES_AT_ONCE):
+            while j < len(parts) and (j == i or held + len(parts[j]) <= most):
                 held += len(parts[j])
                 j += 1
             starts = np.cumsum([0, *map(len, parts[i: j - 1])])
@@ -352,7 +355,8 @@ def decode(ids: np.ndarray, pieces: list[str], byte_of: dict[int, int]) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
-def encode_texts(docs: DataFrame, model: str = MODEL, text_col: str = "text", out: str = "ids") -> DataFrame:
+def encode_texts(docs: DataFrame, model: str = MODEL, text_col: str = "text", out: str = "ids",
+                 codes_at_once: int = CODES_IN_A_STAGE) -> DataFrame:
     """``docs`` with one more column ``out`` (array of int) with the ids of its text."""
     pieces = load(model)
     named = {c: f"_in_{i}" for i, c in enumerate(docs.columns)}
@@ -364,7 +368,7 @@ def encode_texts(docs: DataFrame, model: str = MODEL, text_col: str = "text", ou
         for batch in batches:
             for i in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(i, ROWS_AT_ONCE)
-                ids = encoder.encode([t.as_py() for t in part.column(at)])
+                ids = encoder.encode([t.as_py() for t in part.column(at)], codes_at_once)
                 yield part.append_column("_ids", pa.array(ids, pa.list_(pa.int32())))
 
     kinds = ", ".join(f"{named[f.name]} {f.dataType.simpleString()}" for f in docs.schema)
