@@ -4,22 +4,29 @@ The texts of a batch become one array of code points. It is cut wherever no
 piece of the vocabulary spans two neighbouring code points; the distinct words
 between the cuts are grouped by length, and all words of one length advance
 together: at each position the hashes of the substrings that end there probe
-the sorted keys of the pieces, and the one candidate that a path may use and its
-backpointer are stored for all words at once. No score is summed or maximised.
-
-The vocabulary is of the BPE kind: the pieces' scores are merge ranks, and the
-segmentation with the highest sum of scores isn't the one the merges lead to.
-So a candidate is taken, longest first, if it and the piece stored where it begins
+the sorted keys of the pieces, and the best candidate and its backpointer are
+stored for all words at once.
+
+In a unigram model a piece's score is a log probability. Each position keeps the
+maximum, over the pieces that end there, of the piece's score and the sum where it
+begins; of equal sums the longer last piece wins. A code point that is no piece
+scores 10 less than the lowest piece. Sums are of 64 bits and start at each word,
+the library's are of 32 bits and start at the text, so where two segmentations have
+the same sum, or differ in the seventh digit, rounding may pick the other one there.
+
+In a BPE model the scores are merge ranks (whole numbers: this tells the two kinds
+apart), and the segmentation with the highest sum isn't the one the merges lead to.
+There a candidate is taken, longest first, if it and the piece stored where it begins
 are neighbours in a BPE result, that is if merging the characters
 of both, lowest rank first, leads back to just these two. Every prefix of a
-word then has exactly one path, its own BPE result, and the ids are those of
-the library. A vocabulary whose scores aren't whole merge ranks (a unigram model)
-would need the maximum and is refused. Whether two pieces may be neighbours is read off the order in which
+word then has exactly one path, its own BPE result, so nothing is left to
+maximise, and the ids are those of the library. Whether two pieces may be neighbours is read off the order in which
 merges build the last symbols of the one and the first of the other; answers
 are kept for the task.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text.
-Code points outside the vocabulary become their UTF-8 bytes. Decoding gives
+Code points outside the vocabulary become their UTF-8 bytes; a vocabulary without
+pieces for bytes is refused. Decoding gives
 the text back exactly, except that U+2581, which stands for the space in the
 pieces, comes back as a space.
 """
@@ -35,7 +42,6 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 0x2581
-LONGEST = 16
 CODES_AT_ONCE = 2_500_000
 #: For a stage beside others: less memory, but words are shared among fewer texts.
 CODES_IN_A_STAGE = 600_000
@@ -46,6 +52,8 @@ _DENSE = 1024
 _BASE = 0x9E3779B97F4A7C15 | 1
 _NEVER = np.int64(2**62)
 UNKNOWN = -1
+#: Fixed value: how far below the lowest piece of a unigram model an unknown code point scores.
+UNKNOWN_PENALTY = 10.0
 
 
 def _mix(x: np.ndarray, length) -> np.ndarray:
@@ -57,10 +65,10 @@ def _mix(x: np.ndarray, length) -> np.ndarray:
 class Pieces:
     """The vocabulary as sorted substring keys, and what is derived from it once."""
 
-    def __init__(self, pieces: list[str], scores: list[float], normal: list[bool], byte_ids: list[int]):
+    def __init__(self, pieces: list[str], scores: list[float], normal: list[bool], byte_ids: list[int],
+                 unigram: bool = False):
         self.pieces, self.byte_ids = pieces, np.array(byte_ids, np.int32)
         size = len(pieces)
-        self.power = np.array([pow(_BASE, i, 2**64) for i in range(2 * LONGEST + 2)], np.uint64)
         self.length = np.zeros(size, np.int64)
         self.raw = np.zeros(size, np.uint64)
         bigrams = set()
@@ -76,6 +84,11 @@ class Pieces:
         self.rank = np.full(size + 1, -1, np.int64)
         self.rank[order] = np.arange(len(order))
         self.longest = int(self.length.max(initial=1))
+        self.power = np.array([pow(_BASE, i, 2**64) for i in range(self.longest + 1)], np.uint64)
+        self.scores = None
+        if unigram:  # the last place is that of UNKNOWN
+            lowest = min((x for x, n in zip(scores, normal) if n), default=0.0)
+            self.scores = np.array([*scores, lowest - UNKNOWN_PENALTY])
         known = np.flatnonzero(normal)
         self._index(known)
         self.joins = np.zeros((_DENSE, _DENSE), bool)
@@ -88,7 +101,8 @@ class Pieces:
         self.far = np.array(sorted(far), np.int64)
         self.left = np.full(size + 1, -1, np.int64)
         self.right = np.full(size + 1, -1, np.int64)
-        self._split(pieces, order)
+        if not unigram:
+            self._split(pieces, order)
 
     def _index(self, ids: np.ndarray) -> None:
         keys = _mix(self.raw[ids], self.length[ids])
@@ -171,10 +185,11 @@ def load(model: str = MODEL) -> Pieces:
     n = sp.get_piece_size()
     special = [sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) for i in range(n)]
     scores = [sp.get_score(i) for i in range(n)]
-    if any(not x.is_integer() for x, s in zip(scores, special) if not s):
-        raise ValueError(f"{model} is not a BPE model: its scores are not merge ranks")
-    return Pieces([sp.id_to_piece(i) for i in range(n)], scores,
-                  [not s for s in special], [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)])
+    byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+    if not all(map(sp.is_byte, byte_ids)):
+        raise ValueError(f"{model} has no pieces for bytes")
+    unigram = any(not x.is_integer() for x, s in zip(scores, special) if not s)
+    return Pieces([sp.id_to_piece(i) for i in range(n)], scores, [not s for s in special], byte_ids, unigram)
 
 
 class Encoder:
@@ -209,10 +224,31 @@ class Encoder:
         prefix = np.zeros((n, length + 1), np.uint64)
         for i in range(length):
             prefix[:, i + 1] = prefix[:, i] * np.uint64(_BASE) + codes[:, i] + np.uint64(1)
-        back = np.zeros((n, length + 1), np.int8)
+        back = np.zeros((n, length + 1), np.int16)
         last = np.full((n, length + 1), UNKNOWN, np.int32)
-        for i in range(1, length + 1):
-            best = np.zeros(n, np.int8)
+        (self._merged if v.scores is None else self._best)(prefix, back, last)
+        return back, last
+
+    def _best(self, prefix: np.ndarray, back: np.ndarray, last: np.ndarray) -> None:
+        """Fills ``back`` and ``last`` with the paths of the highest sums of scores."""
+        v = self.v
+        total = np.zeros(prefix.shape)
+        for i in range(1, prefix.shape[1]):
+            top = np.full(len(prefix), -np.inf)
+            for size in range(min(v.longest, i), 0, -1):
+                found = v.find(prefix[:, i] - prefix[:, i - size] * v.power[size], size)
+                sums = total[:, i - size] + v.scores[found]
+                better = sums > top
+                if size > 1:
+                    better &= found >= 0
+                top[better], back[better, i], last[better, i] = sums[better], size, found[better]
+            total[:, i] = top
+
+    def _merged(self, prefix: np.ndarray, back: np.ndarray, last: np.ndarray) -> None:
+        """Fills ``back`` and ``last`` with the one path that merges lead to."""
+        v, n = self.v, len(prefix)
+        for i in range(1, prefix.shape[1]):
+            best = np.zeros(n, np.int16)
             for size in range(min(v.longest, i), 0, -1):
                 open_ = np.flatnonzero(best == 0)
                 if not len(open_):
@@ -228,7 +264,6 @@ class Encoder:
                 best[open_[good]] = size
                 last[open_[good], i] = found[good]
             back[:, i] = np.where(best == 0, 1, best)
-        return back, last
 
     def _tokens(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words one after the other, ids per word) for words of one length."""

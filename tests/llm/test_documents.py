@@ -2,8 +2,10 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
+import struct
 
 import numpy as np
 import pytest
@@ -56,6 +58,35 @@ def test_order_minhash_ranges_are_seamless(edge_docs):
         assert a[-1] == b[0]
 
 
+def plain_fingerprint(text, k, tuple_size, coordinates):
+    """Order MinHash one coordinate after the other: the smallest numbered k-mers from a point on, in text order."""
+    kmers = [text[i: i + k] for i in range(len(text) - k + 1)] or [text]
+    value = {m: int(order_minhash._kmers(order_minhash._codes(m), k)[0]) >> 24 for m in set(kmers)}
+    mix = lambda x: int(order_minhash._mix(np.array([x % 2**64], np.uint64))[0])
+    seen, numbered = {}, []
+    for m in kmers:
+        seen[m] = seen.get(m, -1) + 1
+        numbered.append(mix(value[m] * int(order_minhash._ODD) + seen[m]))
+    out = []
+    for c in range(coordinates):
+        point = c * (2**64 // coordinates) >> 24
+        order = sorted(range(len(kmers)), key=lambda i: (numbered[i] >> 24 < point, numbered[i] >> 24, i))
+        h = tuple_size
+        for i in sorted(order[:tuple_size]):
+            h = mix(h * int(order_minhash._ODD) + numbered[i])
+        out.append(h >> 48)
+    return out
+
+
+@pytest.mark.parametrize("k, tuple_size, coordinates", [(12, 2, 128), (3, 3, 16), (5, 1, 8)])
+def test_order_minhash_equals_plain(k, tuple_size, coordinates):
+    rng = random.Random(k)
+    texts = ["", "a", "aaaaaaaaaaaaaaaaaaaaaaaa", "abc" * 30, "日本語テキスト" * 5, edge.prose(rng, 60)]
+    for text in texts:
+        got = order_minhash.fingerprint(order_minhash._codes(text), k, tuple_size, coordinates)
+        assert got.tolist() == plain_fingerprint(text, k, tuple_size, coordinates), text
+
+
 def test_order_minhash_prefers_order():
     text = edge.prose(random.Random(1), 200)
     same = order_minhash.fingerprint(order_minhash._codes(text))
@@ -274,6 +305,83 @@ def test_pieces_of_odd_strings(monkeypatch):
         assert ids.tolist() == lib.encode(text), text
 
 
+def model_file(path, kind, scored, with_bytes=True):
+    """A vocabulary file written by hand: ``scored`` is a list of (piece, score); kind 1 is unigram, 2 is BPE."""
+    def number(n):
+        out = bytearray()
+        while n > 127:
+            out.append(n & 127 | 128)
+            n >>= 7
+        return bytes([*out, n])
+
+    field = lambda at, body: number(at << 3 | 2) + number(len(body)) + body
+    flag = lambda at, n: number(at << 3) + number(n)
+    piece = lambda text, score, what: field(1, field(1, text.encode()) + b"\x15" + struct.pack("<f", score) + flag(3, what))
+    body = piece("<unk>", 0, 2) + piece("<s>", 0, 3) + piece("</s>", 0, 3)
+    if with_bytes:
+        body += b"".join(piece(f"<0x{b:02X}>", 0, 6) for b in range(256))
+    body += b"".join(piece(p, x, 1) for p, x in scored)
+    body += field(2, flag(3, kind) + (flag(35, 1) if with_bytes else b"")) + field(3, flag(3, 1) + flag(4, 0) + flag(5, 1))
+    path.write_bytes(body)
+    return str(path)
+
+
+def best_path(text, scores):
+    """The highest sum of scores over all segmentations, one position after the other."""
+    unknown = min(scores.values()) - 10
+    sums = [0.0]
+    for i in range(1, len(text) + 1):
+        sums.append(max(sums[j] + scores.get(text[j:i], unknown if i - j == 1 else -math.inf) for j in range(i)))
+    return sums[-1]
+
+
+def test_pieces_of_a_unigram_model(spark, tmp_path):
+    import sentencepiece
+
+    rng = random.Random(12)
+    scores = {c: -9.0 - rng.random() for c in "abcdeé\u2581"}
+    while len(scores) < 300:
+        scores["".join(rng.choice("abcdeé\u2581") for _ in range(rng.randrange(2, 7)))] = -3 - 9 * rng.random()
+    scores["ab" * 20] = -2.5  # longer than any other piece
+    file = model_file(tmp_path / "unigram.model", 1, scores.items())
+    lib = sentencepiece.SentencePieceProcessor(model_file=file)
+    scores = {p: lib.get_score(lib.piece_to_id(p)) for p in scores}
+    texts = ["", " ", "a", "x", "xyz ab", "ab" * 45, "日本 ab", "a" * 3000]
+    texts += ["".join(rng.choice("abcdeé   x") for _ in range(rng.randrange(1, 80))) for _ in range(300)]
+    vocabulary = piece_viterbi.load(file)
+    found = [x.tolist() for x in piece_viterbi.Encoder(vocabulary).encode(texts)]
+    unknown = min(scores.values()) - 10
+
+    def total(ids):  # a code point spelled in bytes counts once, by its first byte
+        names = [vocabulary.pieces[i] for i in ids]
+        firsts = [n for n in names if n in scores or not 0x80 <= int(n[3:5], 16) < 0xC0]
+        return sum(scores.get(n, unknown) for n in firsts)
+
+    same = 0
+    for text, ids in zip(texts, found):
+        best = best_path("\u2581" + text.replace(" ", "\u2581"), scores) if text else 0.0
+        assert abs(total(ids) - best) < 1e-6 * max(1, len(text)), text
+        other = lib.encode(text)
+        assert ids == other or abs(total(other) - best) < 1e-3, text  # equal sums: rounding picks one
+        same += ids == other
+    assert same >= 0.9 * len(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    back = piece_viterbi.decode_ids(piece_viterbi.encode_texts(df, model=file), model=file)
+    assert {r.doc_id: r.text for r in back.collect()} == dict(enumerate(texts))
+
+
+def test_piece_models_of_other_kinds(tmp_path):
+    import sentencepiece
+
+    merges = ["ab", "abab", "\u2581a", "abababab" * 6]
+    file = model_file(tmp_path / "bpe.model", 2, [(p, -float(i)) for i, p in enumerate([*merges, *"ab\u2581"])])
+    lib = sentencepiece.SentencePieceProcessor(model_file=file)
+    texts = ["abab aab", "ab" * 40, "ba ba"]
+    assert [x.tolist() for x in piece_viterbi.Encoder(piece_viterbi.load(file)).encode(texts)] == [lib.encode(t) for t in texts]
+    with pytest.raises(ValueError, match="no pieces for bytes"):
+        piece_viterbi.load(model_file(tmp_path / "none.model", 1, [("a", -1.5)], with_bytes=False))
+
+
 # --- classifiers
 
 @pytest.mark.parametrize("scores", [mil_quality.quality_scores, toxicity.toxicity_scores])
@@ -297,21 +405,6 @@ def test_quality_held_out(spark):
     assert accuracy(spark, mil_quality.quality_scores, "quality") >= 0.93
 
 
-def test_pieces_refuse_a_unigram_model(tmp_path):
-    import sentencepiece
-
-    rng = random.Random(3)
-    kinds = {}
-    for kind in ("unigram", "bpe"):
-        kinds[kind] = str(tmp_path / kind)
-        sentencepiece.SentencePieceTrainer.train(
-            sentence_iterator=iter([edge.prose(rng, 12) for _ in range(500)]), model_prefix=kinds[kind], model_type=kind,
-            vocab_size=400, hard_vocab_limit=False, byte_fallback=True, minloglevel=2)
-    with pytest.raises(ValueError, match="not a BPE model"):
-        piece_viterbi.load(kinds["unigram"] + ".model")
-    assert piece_viterbi.load(kinds["bpe"] + ".model").pieces
-
-
 def test_toxicity_held_out(spark):
     assert accuracy(spark, toxicity.toxicity_scores, "toxic") >= 0.95
 
