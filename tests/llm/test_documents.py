@@ -409,6 +409,28 @@ def test_toxicity_held_out(spark):
     assert accuracy(spark, toxicity.toxicity_scores, "toxic") >= 0.95
 
 
+def test_attention_score_equals_plain():
+    rng = np.random.default_rng(4)
+    net = mil_quality.GatedAttention()
+    net.mean, net.scale = rng.normal(size=mil_quality.FEATURES), rng.uniform(0.5, 2, mil_quality.FEATURES)
+    bags = [rng.normal(size=(n, mil_quality.FEATURES)) * 3 for n in (1, 4, 2, 70)]
+    p = {k: x.tolist() for k, x in net.p.items()}
+    dot = lambda x, y: sum(a * b for a, b in zip(x, y))
+    times = lambda x, m: [dot(x, column) for column in zip(*m)]
+    squash = lambda x: 1 / (1 + math.exp(-x))
+    want = []
+    for bag in bags:
+        hidden, weights = [], []
+        for row in bag.tolist():
+            x = [min(6, max(-6, (v - m) / d)) for v, m, d in zip(row, net.mean.tolist(), net.scale.tolist())]
+            h = [math.tanh(a + b) for a, b in zip(times(x, p["W"]), p["b"])]
+            gated = [math.tanh(a) * squash(b) for a, b in zip(times(h, p["V"]), times(h, p["U"]))]
+            hidden.append(h), weights.append(math.exp(dot(gated, p["w"])))
+        z = [sum(w * h[i] for w, h in zip(weights, hidden)) / sum(weights) for i in range(mil_quality.HIDDEN)]
+        want.append(squash(dot(z, p["c"]) + p["o"][0]))
+    assert np.allclose(net.score(bags), want, atol=1e-9)
+
+
 def test_attention_gradient_is_right():
     rng = np.random.default_rng(0)
     net = mil_quality.GatedAttention()
