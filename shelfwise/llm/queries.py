@@ -158,13 +158,19 @@ with recursive lines as (
       select doc_id, string_split(text, chr(10)) l from documents))
   where trim(l[i], ' ' || chr(9) || chr(13)) <> ''),
 firsts as (select line, min({{'d': doc_id, 'a': pos}}) f, row_number() over (order by line) k from lines group by line),
-words as (select k, string_split(line, ' ') w from firsts),
-grams as (select distinct k, unnest(list_transform(range(1, len(w) + 1),
-  lambda i: {{'w': w[i], 'n': left(w[i + 1], {fuzzy_lines.AHEAD})}})) g from words),
+grams as (select distinct k, unnest(list_transform(range(1, greatest(length(line) - {fuzzy_lines.CHARS - 2}, 2)),
+  lambda i: substring(line, i, {fuzzy_lines.CHARS}))) g from firsts),
 sizes as (select k, count(*) n from grams group by k),
-common as (select a.k a, b.k b, count(*) c from grams a join grams b on a.g = b.g and a.k <> b.k group by 1, 2),
-links as (select a, b from common join sizes x on x.k = a join sizes y on y.k = b
-  where c >= {fuzzy_lines.SIMILARITY} * (x.n + y.n - c)),
+ranked as (select k, g, row_number() over (partition by k order by df, g) r
+  from grams join (select g, count(*) df from grams group by g) using (g)),
+-- near lines share one of the rarest shingles: any c of n >= c leave at most n - c outside
+rare as (select k, g from ranked join sizes using (k) where r <= n - ceil({fuzzy_lines.SIMILARITY} * n) + 1),
+pairs as (select distinct a.k a, b.k b from rare a join rare b on a.g = b.g and a.k < b.k),
+close as (select a, b, x.n + y.n s from pairs join sizes x on x.k = a join sizes y on y.k = b
+  where least(x.n, y.n) >= {fuzzy_lines.SIMILARITY} * greatest(x.n, y.n)),
+common as (select a, b, s, count(*) c from close join grams x on x.k = a join grams y on y.k = b and x.g = y.g group by a, b, s),
+ties as (select a, b from common where c >= {fuzzy_lines.SIMILARITY} * (s - c)),
+links as (select a, b from ties union all select b, a from ties),
 reach as (select k, k c from firsts union select l.b, r.c from reach r join links l on l.a = r.k),
 comp as (select k, min(c) c from reach group by k),
 stays as (select c, min(f) s from comp join firsts using (k) group by c),

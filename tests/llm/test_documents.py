@@ -9,6 +9,7 @@ import struct
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import edge
 from edge import edge_docs, labels, no_docs  # noqa: F401  fixtures
@@ -170,8 +171,7 @@ def plain_lines(docs):
         first.setdefault(line, at)
         first[line] = min(first[line], at)
     for line in first:
-        w = line.split(" ")
-        sets[line] = {(w[i], w[i + 1][:fuzzy_lines.AHEAD] if i + 1 < len(w) else None) for i in range(len(w))}
+        sets[line] = {line[i: i + fuzzy_lines.CHARS] for i in range(max(len(line) - fuzzy_lines.CHARS + 1, 1))}
     label = plain_components(sets, lambda a, b: len(a & b) >= fuzzy_lines.SIMILARITY * len(a | b))
     stays = {}
     for line in first:
@@ -200,25 +200,78 @@ def test_lines_equal_brute_force(spark, monkeypatch):
     assert texts == {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in got) for i, t in docs.items()}
 
 
-def test_short_lines_at_the_threshold_always_meet(spark):
+def _shared_bands(lines):
+    keys, ends = fuzzy_lines.shingle_keys(lines)
+    values, offsets = fuzzy_lines.bands(keys, ends)
+    return [set(values[offsets[i]: offsets[i + 1]].tolist()) for i in range(len(lines))]
+
+
+def _near_pairs(n, count, rng):
+    """Pairs of lines of ``n`` characters or more whose shingle sets are as far apart as 0.75 allows."""
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    grams = lambda x: {x[i: i + 5] for i in range(max(len(x) - 4, 1))}
+    while count:
+        line = other = "".join(rng.choice(letters) for _ in range(n))
+        while True:
+            at = rng.randrange(len(other) + 1)
+            edited = other[:at] + rng.choice("0123456789") + other[at + rng.randrange(2):]
+            x, y = grams(line), grams(edited)
+            if len(x & y) < 0.75 * len(x | y):
+                break
+            other = edited
+        if other != line:
+            yield line, other
+        count -= 1
+
+
+def test_lines_at_the_threshold_share_a_band():
     rng = random.Random(6)
-    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
-    docs = {}
-    for n in range(3, 31):
-        for _ in range(4):
-            line = [word() for _ in range(n)]
-            edited, longer = list(line), list(line)
-            for i in rng.sample(range(n), n // 7):
-                edited[i] = edited[i][:-1] + "0"
-            for i in sorted(rng.sample(range(n), min(n // 3, 32 - n)), reverse=True):
-                longer.insert(i, longer[i][:3] + word())  # one shingle more, none lost
-            for other in (edited, longer):
-                docs[len(docs)] = " ".join(line)
-                docs[len(docs)] = " ".join(other)
+    for n, count in [*((n, 30) for n in range(7, 47)), (60, 1000), (100, 1000), (300, 300)]:
+        pairs = list(_near_pairs(n, count, rng))
+        sets = _shared_bands([line for pair in pairs for line in pair])
+        met = sum(bool(a & b) for a, b in zip(sets[::2], sets[1::2]))
+        # sets of at most SHORT always meet; of the larger a few in 10,000 needn't
+        assert met == len(pairs) if n <= fuzzy_lines.SHORT else met >= 0.99 * len(pairs), n
+
+
+def test_line_keys_are_sparks(spark):
+    lines = ["a", "é€😀 line", "x" * 100]
+    df = spark.createDataFrame([(0, "\n".join(lines))], "doc_id bigint, text string")
+    want = spark.createDataFrame([(x,) for x in lines], "line string").select(*fuzzy_lines._key(F.col("line")))
+    got = fuzzy_lines.signatures(df)
+    assert {tuple(r) for r in got.select("k1", "k2").collect()} == {tuple(r) for r in want.collect()}
+    assert {r.at: r.size for r in got.collect()} == {0: 1, 1: 4, 2: 1}
+
+
+def test_lines_without_spaces_and_short_lines_have_near_copies(spark):
+    url = "https://host.example/path/to/some/page?with=args&and=more"
+    docs = {0: url, 1: url + "1", 2: "abc", 3: "abc\0", 4: "abcd", 5: "ab\nab", 6: None, 7: "字" * 3 + "一二三四五六七八九十" * 2,
+            8: "字" * 3 + "一二三四五六七八九十" * 2 + "。"}
+    got = {(r.id, r.at) for r in fuzzy_lines.dropped_lines(spark.createDataFrame(
+        list(docs.items()), "doc_id bigint, text string")).where("drop").collect()}
+    assert got == plain_lines(docs) == {(1, 0), (5, 1), (8, 0)}
+
+
+def test_blocks_find_what_hubs_leave(spark, monkeypatch):
+    monkeypatch.setattr(fuzzy_lines, "BLOCK", 8)
+    monkeypatch.setattr(fuzzy_lines, "HUBS", 1)
+    monkeypatch.setattr(fuzzy_lines, "YIELD", 1)
+    rng = random.Random(8)
+    stem = "".join(rng.choice("abcdefgh") for _ in range(60))
+    tails = ["".join(rng.choice("ijklmnop") for _ in range(60)) for _ in range(25)]
+    docs = dict(enumerate(stem + t + x for t in tails for x in ("", "!", "?!")))
     got = {(r.id, r.at) for r in fuzzy_lines.dropped_lines(spark.createDataFrame(
         list(docs.items()), "doc_id bigint, text string")).where("drop").collect()}
-    assert got == plain_lines(docs)
-    assert {(i, 0) for i in docs if i % 2} <= got
+    assert got == plain_lines(docs) == {(i, 0) for i in docs if i % 3}
+
+
+def test_dedup_lines_repeated_and_null_ids(spark):
+    rows = [(None, "one line of text\nother words here"), (None, "one line of text\nand a third sentence"),
+            (7, "and a third sentence\nunlike all the rest"), (7, "fresh material\none line of text")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((r.doc_id or 0, r.text) for r in fuzzy_lines.dedup_lines(df).collect())
+    assert got == [(0, "one line of text\nand a third sentence"), (0, "one line of text\nother words here"),
+                   (7, "fresh material"), (7, "unlike all the rest")]
 
 
 def test_lines_awkward_rows(edge_docs, no_docs):
