@@ -9,9 +9,10 @@ the survivor is the same on every run (nulls sort first, as in ``ORDER BY``).
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,7 +33,10 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 def split_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(kept, extra copies) for every key, each row exactly once, skew-safe.
 
-    Rows are first counted per full value (``groupBy(all columns)``), so copies
+    Only the rows of keys that come more than once are looked at for extra copies:
+    the keys are counted by a hash aggregate, and the rows are matched with the
+    repeated ones by a hash join, so rows that come once are never sorted or held.
+    Those left are counted per full value (``groupBy(all columns)``), so copies
     of one row collapse to a count before anything else moves; the survivor per
     key comes from the same ``min(struct)`` aggregate as :func:`keep_first`.
     Extra copies are re-expanded from their counts in bounded chunks.
@@ -41,7 +45,11 @@ def split_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tup
     order = list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
     shape = [F.col(c) for c in order + rest]
-    distinct_rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+                .select(*[F.col(k).alias(f"_r_{k}") for k in keys]))
+    same = functools.reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    several = df.join(repeated.hint("shuffle_hash"), same, "left_semi")
+    distinct_rows = several.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
     survivors = (
         distinct_rows.groupBy(*keys)
         .agg(F.min(F.struct(*shape)).alias("_keep"))
@@ -55,11 +63,10 @@ def split_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tup
         distinct_rows.join(survivors, cond, "inner")
         .withColumn("_is_keep", F.struct(*shape).eqNullSafe(F.col("_keep")))
     )
-    kept = labeled.filter("_is_keep").select(*df.columns)
     extra = labeled.withColumn(
         "_extra", F.col("_n") - F.when(F.col("_is_keep"), 1).otherwise(0)
     ).filter(F.col("_extra") > 0)
-    return kept, expand_counts(extra, "_extra").select(*df.columns)
+    return keep_first(df, keys, order), expand_counts(extra, "_extra").select(*df.columns)
 
 
 def expand_counts(df: DataFrame, count_col: str, chunk: int = 65536) -> DataFrame:
