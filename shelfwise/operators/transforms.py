@@ -71,17 +71,19 @@ def inventory_calculation(sales_agg: DataFrame, warehouse_clean: DataFrame,
     per_product = sales_agg.groupBy(*bkeys, "product_id").agg(long_sum("units_sold").alias("units_sold_batch"))
     wh = warehouse_clean.select("product_id", "warehouse_stock", "reorder_threshold")
     if bkeys:
-        # both sides are dealt by product before stock is repeated for the batches, so neither the join
-        # nor a window per product moves the repeated rows
-        wh = _for_every_batch(wh.repartition("product_id"), batches if batches is not None else batch_ids(sales_agg))
-        per_product = per_product.repartition("product_id")
+        # one row a product, with a map of its batches' units, meets the stock before that is repeated for the
+        # batches: neither this join nor a window per product moves the repeated rows
+        units = F.map_from_entries(F.collect_list(F.struct(BATCH, "units_sold_batch")))
+        by_batch = per_product.where(F.col(BATCH).isNotNull()).groupBy("product_id").agg(units.alias("_units"))
+        joined = _for_every_batch(wh.join(by_batch, "product_id", "left"),
+                                  batches if batches is not None else batch_ids(sales_agg))
+        joined = joined.withColumn("units_sold_batch", F.try_element_at("_units", F.col(BATCH)))
+    else:
+        joined = wh.join(per_product, "product_id", "left")
     sold = F.coalesce(F.col("units_sold_batch"), F.lit(0).cast("bigint"))
-    return (
-        wh.join(per_product, ["product_id", *bkeys], "left")
-        .select(*bkeys, "product_id", "warehouse_stock", "reorder_threshold",
-                sold.alias("units_sold_batch"),
-                (F.col("warehouse_stock") - sold).cast("bigint").alias("current_stock"))
-    )
+    return joined.select(*bkeys, "product_id", "warehouse_stock", "reorder_threshold",
+                         sold.alias("units_sold_batch"),
+                         (F.col("warehouse_stock") - sold).cast("bigint").alias("current_stock"))
 
 
 def newest_batch(batches: DataFrame) -> DataFrame:
