@@ -16,7 +16,7 @@ def _written(df: DataFrame, label: str) -> tuple[str, DataFrame]:
     spark = df.sparkSession
     path = work_dir(spark, label)
     with shuffles_cleaned(spark):
-        df.write.parquet(path)
+        df.write.parquet(path, compression="zstd")
     p, fs = hadoop_path(spark, path)
     fs.deleteOnExit(p)
     return path, spark.read.schema(df.schema).parquet(path)

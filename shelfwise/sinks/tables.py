@@ -28,6 +28,7 @@ from .log import LOG, commit, committed, folders, hadoop_path, load_log
 BATCH = "batch_id"
 LOAD = "load_id"
 BATCHES = "batch_ids"
+PRODUCT = "product_id"
 
 
 def stamp(df: DataFrame, batch_id: int | None = None) -> DataFrame:
@@ -52,7 +53,7 @@ def _write(df: DataFrame, base: str, name: str, folder: str) -> dict:
     if BATCHES in df.columns:
         lists = F.array_join(BATCHES, ",")
         stamp(df).observe(counted, F.count(F.lit(1)).alias("rows"), F.min(lists).alias("least"), F.max(lists).alias("most")) \
-            .drop(BATCHES).write.parquet(f"{base}/{name}/{folder}")
+            .drop(BATCHES).write.parquet(f"{base}/{name}/{folder}", compression="zstd")
         if counted.get["least"] != counted.get["most"]:
             raise ValueError(f"{name}: rows of one load that differ in {BATCHES}")
         batches = [int(b) for b in (counted.get["most"] or "").split(",") if b]
@@ -60,7 +61,10 @@ def _write(df: DataFrame, base: str, name: str, folder: str) -> dict:
     by = [BATCH] if BATCH in df.columns else []
     # rows of a batch go to few files, and a batch that holds most rows is split, by size after the shuffle
     out = stamp(df).hint("rebalance", *[F.col(c) for c in by]).observe(counted, F.count(F.lit(1)).alias("rows"))
-    out.write.partitionBy(*by).parquet(f"{base}/{name}/{folder}")
+    # the writer sorts by batch anyway; by product below it, like values lie together and compress
+    sort = [c for c in (*by, PRODUCT) if c in df.columns]
+    out = out.sortWithinPartitions(*sort) if sort else out
+    out.write.partitionBy(*by).parquet(f"{base}/{name}/{folder}", compression="zstd")
     parts = [f.split("=", 1)[1] for f in folders(spark, f"{base}/{name}/{folder}") if f.startswith(f"{BATCH}=")]
     return {"folder": folder, "rows": counted.get["rows"], "batches": [int(p) for p in parts if p.lstrip("-").isdigit()]}
 
