@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise import schemas
 from shelfwise.functions.columns import padded_id
 from shelfwise.operators import clean as C
+from shelfwise.operators import transforms as T
 from shelfwise.plans.dedup import keep_first
 from shelfwise.plans.materialise import spooling
 from shelfwise.sinks import tables as K
@@ -168,3 +169,19 @@ def test_padded_ids_are_those_of_the_formatter(spark):
     ids = spark.createDataFrame([(n,) for n in (0, 7, 999, 1000, 9999, 10000, 123456789012, -5, -12345, None)], "n bigint")
     got = ids.select(padded_id("P", "n").alias("a"), F.format_string("P%04d", "n").alias("b")).collect()
     assert all(r.a == r.b for r in got) and {"P0007", "P1000", "P123456789012"} <= {r.a for r in got}
+
+
+def test_cumulative_stock_moves_no_repeated_row(spark, refs):
+    """After stock was written and read back, its window per product needs no shuffle of the rows of every batch."""
+    rows = pos(spark, [sale(f"t{i}", i % 8, f"P{i % 3}") for i in range(90)])
+    with spooling() as spool:
+        build = lambda **kw: P.batch_results(rows, C.clean_warehouse(refs[0]), refs[1], spool, **kw)["inventory_status"]()
+        plain, dealt = T.inventory_cumulative(build()), T.inventory_cumulative(build(by_product=True))
+        assert plain.exceptAll(dealt).isEmpty() and dealt.exceptAll(plain).isEmpty() and dealt.count() == 16
+
+        def above_window(df):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            below = plan[plan.index("Window"):]
+            return below[:below.index("Generate")]
+
+        assert "Exchange" in above_window(plain) and "Exchange" not in above_window(dealt)
